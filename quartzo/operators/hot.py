@@ -1,0 +1,235 @@
+"""Windows and joins that hold when one key owns a large share of the rows.
+
+A plain window sends all rows of a key to one task. Here the few keys with more than
+``hot_rows`` rows are found by a partially aggregated count, and only their rows take
+a second way: the order is cut into segments, every (key, segment) is worked on its
+own, and what earlier segments contribute is carried over from one row per segment.
+Both ways are exact; together they return every row.
+
+There are at most rows / hot_rows hot keys, which bounds what is broadcast.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+HOT_ROWS = 1_000_000
+COPY_CHUNK = 100_000
+
+
+def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Null-safe equality on all names."""
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select(*keys)
+
+
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys and rows of hot keys."""
+    hot = F.broadcast(hot_keys(df, keys, hot_rows))
+    return (
+        df.join(hot, same(df, hot, keys), "left_anti"),
+        df.join(hot, same(df, hot, keys), "left_semi"),
+    )
+
+
+def width_segment(df: DataFrame, value: str, pieces: int = 1024) -> Column:
+    """Equal-width piece of a numeric column's whole range, 0 .. pieces - 1.
+
+    Non-decreasing in the value, so it can cut an order into segments.
+    """
+    ends = df.agg(F.struct(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))).scalar()
+    low, high = ends.getField("lo"), ends.getField("hi")
+    step = F.greatest((high - low) / F.lit(float(pieces)), F.lit(1e-9))
+    return F.least(F.floor((F.col(value).cast("double") - low) / step), F.lit(pieces - 1)).cast("int")
+
+
+def _ordered(names: list[str]) -> list[Column]:
+    return [F.col(n).asc_nulls_first() for n in names]
+
+
+def _with_segment(df: DataFrame, segment: list[Column]) -> tuple[DataFrame, list[str]]:
+    names = [f"_segment{i}" for i in range(len(segment))]
+    return df.withColumns(dict(zip(names, segment))), names
+
+
+def _carry(cut: DataFrame, keys: list[str], segs: list[str], partial: Column, merge) -> DataFrame:
+    """One row per (key, segment) with what the key's earlier segments amount to."""
+    per = cut.groupBy(*keys, *segs).agg(partial.alias("_part"))
+    over = Window.partitionBy(*keys).orderBy(*_ordered(segs))
+    return per.select(*keys, *segs, merge(over).alias("_carry"))
+
+
+def _attach(cut: DataFrame, carry: DataFrame, names: list[str]) -> DataFrame:
+    right = carry.select(*[F.col(n).alias(f"_c_{n}") for n in names], "_carry")
+    cond = reduce(lambda a, b: a & b, [cut[n].eqNullSafe(right[f"_c_{n}"]) for n in names])
+    return cut.join(right, cond, "left").drop(*[f"_c_{n}" for n in names])
+
+
+def numbered(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    segment: list[Column],
+    name: str,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """1, 2, ... inside each key by ascending ``order``.
+
+    ``segment`` must be non-decreasing in ``order``. Remaining columns break ties; exact
+    copies are interchangeable, so hot keys count them once and spread them again last.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    total = _ordered(order + rest)
+    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*total)).cast("bigint")
+    if hot_rows is None:
+        return df.withColumn(name, plain)
+    normal, hot = split_hot(df, keys, hot_rows)
+
+    single = hot.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    cut, segs = _with_segment(single, segment)
+    before = Window.partitionBy(*keys, *segs).orderBy(*total).rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("_before", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
+    carry = _carry(
+        cut,
+        keys,
+        segs,
+        F.sum("_copies"),
+        lambda over: F.coalesce(F.sum("_part").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    )
+    chunked = _attach(cut, carry, keys + segs).select(
+        *df.columns,
+        (F.col("_before") + F.col("_carry")).alias("_base"),
+        "_copies",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(COPY_CHUNK).cast("bigint"))).alias("_from"),
+    )
+    spread = chunked.withColumn(
+        "_step",
+        F.explode(F.sequence(F.col("_from") + 1, F.least(F.col("_from") + COPY_CHUNK, F.col("_copies")))),
+    ).select(*df.columns, (F.col("_base") + F.col("_step")).alias(name))
+    return normal.withColumn(name, plain).unionByName(spread)
+
+
+def running_sum(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    segment: list[Column],
+    value: str,
+    name: str,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Sum of ``value`` up to and including the row; ``order`` must be unique inside a key."""
+    frame = lambda names: Window.partitionBy(*names).orderBy(*_ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
+    if hot_rows is None:
+        return df.withColumn(name, F.sum(value).over(frame(keys)))
+    normal, hot = split_hot(df, keys, hot_rows)
+    done = segmented_sum(hot, keys, order, segment, value, name)
+    return normal.withColumn(name, F.sum(value).over(frame(keys))).unionByName(done)
+
+
+def segmented_sum(
+    df: DataFrame, keys: list[str], order: list[str], segment: list[Column], value: str, name: str
+) -> DataFrame:
+    """The segmented way of :func:`running_sum` for all rows."""
+    cut, segs = _with_segment(df, segment)
+    frame = Window.partitionBy(*keys, *segs).orderBy(*_ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
+    cut = cut.withColumn("_local", F.sum(value).over(frame))
+    carry = _carry(
+        cut,
+        keys,
+        segs,
+        F.sum(value),
+        lambda over: F.sum("_part").over(over.rowsBetween(Window.unboundedPreceding, -1)),
+    )
+    joined = _attach(cut, carry, keys + segs)
+    total = F.when(F.col("_carry").isNull(), F.col("_local")).otherwise(
+        F.coalesce(F.col("_local") + F.col("_carry"), F.col("_carry"))
+    )
+    return joined.select(*df.columns, total.alias(name))
+
+
+def neighbour(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    segment: list[Column],
+    values: list[str],
+    name: str,
+    following: bool = False,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Struct of ``values`` of the previous (or following) row of the key; NULL at the end.
+
+    ``order`` must be unique inside a key.
+    """
+    payload = F.struct(*values)
+    move = F.lead if following else F.lag
+    plain = move(payload).over(Window.partitionBy(*keys).orderBy(*_ordered(order)))
+    if hot_rows is None:
+        return df.withColumn(name, plain)
+    normal, hot = split_hot(df, keys, hot_rows)
+
+    cut, segs = _with_segment(hot, segment)
+    inside = Window.partitionBy(*keys, *segs).orderBy(*_ordered(order))
+    edge = F.min_by if following else F.max_by
+    carry = _carry(cut, keys, segs, edge(payload, F.struct(*order)), lambda over: move("_part").over(over))
+    done = _attach(cut.withColumn("_near", move(payload).over(inside)), carry, keys + segs)
+    done = done.select(*df.columns, F.coalesce("_near", "_carry").alias(name))
+    return normal.withColumn(name, plain).unionByName(done)
+
+
+def last_known(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    segment: list[Column],
+    value: str,
+    name: str,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """The key's last non-null ``value`` up to and including the row.
+
+    Rows that tie in ``order`` must not carry different values.
+    """
+    frame = lambda names: Window.partitionBy(*names).orderBy(*_ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
+    plain = F.last(value, ignorenulls=True)
+    if hot_rows is None:
+        return df.withColumn(name, plain.over(frame(keys)))
+    normal, hot = split_hot(df, keys, hot_rows)
+    cut, segs = _with_segment(hot, segment)
+    present = F.when(F.col(value).isNotNull(), F.struct(*order))
+    carry = _carry(
+        cut,
+        keys,
+        segs,
+        F.max_by(value, present),
+        lambda over: F.last("_part", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)),
+    )
+    done = _attach(cut.withColumn("_local", plain.over(frame(keys + segs))), carry, keys + segs)
+    done = done.select(*df.columns, F.coalesce("_local", "_carry").alias(name))
+    return normal.withColumn(name, plain.over(frame(keys))).unionByName(done)
+
+
+def hot_left_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join a large left side to a right side whose key is unique.
+
+    Rows of hot left keys meet a broadcast of just the right rows of those keys (at most
+    one per hot key); all other rows take the ordinary shuffled or broadcast join.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    hot = hot_keys(left.dropna(subset=on), on, hot_rows)
+    hot_right = right.join(F.broadcast(hot), on, "left_semi")
+    normal_left = left.join(F.broadcast(hot), on, "left_anti")
+    hot_left = left.join(F.broadcast(hot), on, "left_semi")
+    return normal_left.join(right, on, how).unionByName(hot_left.join(F.broadcast(hot_right), on, how))
