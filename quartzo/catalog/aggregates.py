@@ -9,14 +9,7 @@ from quartzo.functions.columns import money
 from quartzo.operators.keys import duplicated_keys
 from quartzo.operators.median import exact_median
 from quartzo.operators.profile import row_col_count, stacked, value_counts
-from quartzo.plans import gold, mobility, sales, silver
-from quartzo.plans.storefront import Storefront
-
-
-def fact(shop: Storefront):
-    from quartzo.catalog.gold import gold_tables
-
-    return gold_tables(shop)["fato_vendas"]
+from quartzo.plans import mobility, sales, silver
 
 
 @query("row_col_count", "SELECT count(*) AS linhas, 8 AS colunas FROM mobility")

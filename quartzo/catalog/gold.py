@@ -38,6 +38,35 @@ def gold_tables(shop: Storefront) -> dict:
     return gold.build(silver_tables(shop))
 
 
+def sales_tables(shop: Storefront) -> dict:
+    """Just the tables that sales figures read."""
+    orders, keyed = silver.stg_orders(shop.orders()), gold.product_keys(silver.stg_products(shop.products()))
+    customers = gold.dim_customer(silver.stg_customers(shop.customers()))
+    items, payments = silver.stg_order_items(shop.order_items()), silver.stg_payments(shop.payments())
+    return {
+        "dim_data": gold.dim_date(orders, "created_at"),
+        "dim_cliente": customers,
+        "dim_produto": keyed.withColumnRenamed("category", "categoria"),
+        "fato_vendas": gold.fact_sales(items, orders, payments, customers, keyed),
+    }
+
+
+def event_tables(shop: Storefront) -> dict:
+    """Just the tables that navigation figures read."""
+    customers, products = silver.stg_customers(shop.customers()), silver.stg_products(shop.products())
+    keyed, people = gold.product_keys(products), gold.dim_customer(customers)
+    events = silver.silver_events(silver.check_events(shop.events(), customers, products))
+    return {
+        "dim_campanha": gold.dim_campaign(shop.campaigns()),
+        "dim_produto": keyed,
+        "fato_eventos": gold.fact_events(events, people, keyed),
+    }
+
+
+def mart(name: str, tables: dict):
+    return gold.MARTS[name](tables)
+
+
 @query("dim_data", "SELECT * FROM dim_data")
 def dim_data(shop):
     return gold.dim_date(silver.stg_orders(shop.orders()), "created_at")
@@ -50,7 +79,9 @@ def dim_cliente(shop):
 
 @query("dim_produto", "SELECT * FROM dim_produto")
 def dim_produto(shop):
-    return gold_tables(shop)["dim_produto"]
+    suppliers = silver.stg_suppliers(shop.suppliers())
+    catalog = quality.approved(silver.check_catalog(shop.catalog(), suppliers))
+    return gold.dim_product(gold.product_keys(silver.stg_products(shop.products())), catalog, suppliers)
 
 
 @query("dim_campanha", "SELECT * FROM dim_campanha")
@@ -60,12 +91,12 @@ def dim_campanha(shop):
 
 @query("fato_vendas", "SELECT * FROM fato_vendas")
 def fato_vendas(shop):
-    return gold_tables(shop)["fato_vendas"]
+    return sales_tables(shop)["fato_vendas"]
 
 
 @query("fato_eventos", "SELECT * FROM fato_eventos")
 def fato_eventos(shop):
-    return gold_tables(shop)["fato_eventos"]
+    return event_tables(shop)["fato_eventos"]
 
 
 @query("fato_entregas", "SELECT * FROM fato_entregas")
@@ -120,17 +151,17 @@ def scd2_asof_lookup(shop):
 
 @query("receita_bruta", "SELECT CAST(sum(valor_bruto) AS DECIMAL(18,2)) AS receita FROM fato_vendas")
 def receita_bruta(shop):
-    return gold.gross_revenue(gold_tables(shop)["fato_vendas"])
+    return gold.gross_revenue(sales_tables(shop)["fato_vendas"])
 
 
 @query("receita_aprovada", "SELECT CAST(sum(valor_bruto) AS DECIMAL(18,2)) AS receita FROM vendas_validas")
 def receita_aprovada(shop):
-    return gold.gross_revenue(gold.approved_sales(gold_tables(shop)["fato_vendas"]))
+    return gold.gross_revenue(gold.approved_sales(sales_tables(shop)["fato_vendas"]))
 
 
 @query("mart_receita_categoria_dia", "SELECT * FROM mart_receita")
 def mart_receita_categoria_dia(shop):
-    return gold_tables(shop)["mart_receita_categoria_dia"]
+    return mart("mart_receita_categoria_dia", sales_tables(shop))
 
 
 FUNNEL_SQL = "SELECT origem, " + ", ".join(
@@ -140,7 +171,7 @@ FUNNEL_SQL = "SELECT origem, " + ", ".join(
 
 @query("mart_funil_origem", FUNNEL_SQL)
 def mart_funil_origem(shop):
-    return gold_tables(shop)["mart_funil_origem"]
+    return mart("mart_funil_origem", event_tables(shop))
 
 
 DELIVERIES_SQL = """SELECT transportadora, count(*) AS entregas, count(*) - count(no_prazo) AS em_aberto,
@@ -161,22 +192,23 @@ def mart_entregas_transportadora(shop):
        FROM dim_campanha LEFT JOIN fato_eventos ON origem = canal GROUP BY ALL""",
 )
 def mart_campanhas(shop):
-    return gold_tables(shop)["mart_campanhas"]
+    return mart("mart_campanhas", event_tables(shop))
 
 
 @query("named_query", DELIVERIES_SQL)
 def named_query(shop):
-    return gold.named_query("entregas-transportadora", gold_tables(shop))
+    deliveries = gold.fact_deliveries(quality.approved(checked_shipments(shop)))
+    return gold.named_query("entregas-transportadora", {"fato_entregas": deliveries})
 
 
 @query("mart_as_view_or_table", "SELECT t.*, v.forma FROM (SELECT * FROM mart_receita) t, (SELECT unnest(['view', 'tabela']) AS forma) v")
 def mart_as_view_or_table(shop):
     """The revenue mart read through a view and from a materialised table."""
-    mart = gold_tables(shop)["mart_receita_categoria_dia"]
+    revenue = mart("mart_receita_categoria_dia", sales_tables(shop))
     path = scratch(shop.spark, "mart")
-    formats.write_parquet(mart, path)
+    formats.write_parquet(revenue, path)
     table = shop.spark.read.parquet(path)
-    view = shop.spark.sql("SELECT * FROM {mart}", mart=mart)
+    view = shop.spark.sql("SELECT * FROM {revenue}", revenue=revenue)
     return stacked([view.withColumn("forma", F.lit("view")), table.withColumn("forma", F.lit("tabela"))])
 
 
@@ -211,7 +243,7 @@ def silver_unique_event(shop):
 def fact_grain(shop):
     """The fact passes; the captured lines, which repeat items, must not."""
     raw = validate.fact_grain(shop.order_items()).withColumn("verificacao", F.lit("grao_sem_dedupe"))
-    return stacked([validate.fact_grain(gold_tables(shop)["fato_vendas"]), raw])
+    return stacked([validate.fact_grain(sales_tables(shop)["fato_vendas"]), raw])
 
 
 @query(
@@ -220,7 +252,7 @@ def fact_grain(shop):
     "AND (SELECT count(*) = count(DISTINCT sk_produto) FROM dim_produto) AS ok, '0 chaves repetidas' AS detalhe",
 )
 def dim_keys_unique(shop):
-    t = gold_tables(shop)
+    t = sales_tables(shop)
     return validate.dim_keys_unique({"cliente": (t["dim_cliente"], "sk_cliente"), "produto": (t["dim_produto"], "sk_produto")})
 
 
@@ -230,8 +262,8 @@ def dim_keys_unique(shop):
        WHERE NOT EXISTS (SELECT 1 FROM dim_cliente c WHERE c.sk_cliente = f.sk_cliente)""",
 )
 def no_orphan_keys(shop):
-    t = gold_tables(shop)
-    return validate.no_orphan_keys([(t["fato_vendas"], "sk_cliente", t["dim_cliente"]), (t["fato_eventos"], "sk_produto", t["dim_produto"])])
+    t, e = sales_tables(shop), event_tables(shop)
+    return validate.no_orphan_keys([(t["fato_vendas"], "sk_cliente", t["dim_cliente"]), (e["fato_eventos"], "sk_produto", e["dim_produto"])])
 
 
 @query(
@@ -240,8 +272,8 @@ def no_orphan_keys(shop):
        (SELECT CAST(sum(valor_bruto) AS DECIMAL(18,2)) FROM vendas_validas) || ' = ' || (SELECT CAST(sum(receita) AS DECIMAL(18,2)) FROM mart_receita) AS detalhe""",
 )
 def approved_revenue_valid_only(shop):
-    t = gold_tables(shop)
-    return validate.approved_revenue_valid_only(t["fato_vendas"], t["mart_receita_categoria_dia"])
+    t = sales_tables(shop)
+    return validate.approved_revenue_valid_only(t["fato_vendas"], mart("mart_receita_categoria_dia", t))
 
 
 @query(
@@ -273,7 +305,7 @@ def validate_all(shop):
        FROM fato_vendas f JOIN i USING (item_id) JOIN dim_data d USING (sk_data) JOIN dim_produto p USING (sk_produto)""",
 )
 def lineage_trace(shop):
-    t, raw = gold_tables(shop), shop.order_items()
+    t, raw = sales_tables(shop), shop.order_items()
     bronze = shop.table("lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("item_id"), F.col("_metadata.file_name").alias("_source_file")
     )

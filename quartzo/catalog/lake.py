@@ -46,7 +46,7 @@ def landed_events(shop: Storefront) -> layers.Lake:
     lake = layers.Lake(shop.spark, scratch(shop.spark, "lake"))
     events = shop.events()
     folder = F.regexp_extract("_source_file", "events_(.+)[.]jsonl", 1)
-    out = events.drop("_source_file").withColumns({"arquivo": folder, "dia": folder})
+    out = events.withColumns({"arquivo": folder, "dia": folder}).drop("_source_file")
     out.hint("rebalance", "arquivo").write.partitionBy("arquivo").json(lake.path("landing", "events"))
     return lake
 

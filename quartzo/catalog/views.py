@@ -249,8 +249,8 @@ VIEWS: dict[str, str] = {
                CAST(i.unit_price_cents / 100.0 AS DECIMAL(12,2)) AS preco_unitario, i.discount_pct AS desconto_pct
         FROM raw_order_items i JOIN raw_suppliers s ON s.supplier_id = i.seller_id JOIN raw_products p ON p.product_id = i.product_id""",
     "sales_total": """
-        SELECT *, CAST(round(CAST(quantidade AS DECIMAL(10,0)) * preco_unitario
-                 * (100 - CAST(desconto_pct AS DECIMAL(3,0))) / 100, 2) AS DECIMAL(18,2)) AS valor_total FROM sales""",
+        SELECT *, CAST((quantidade * CAST(preco_unitario * 100 AS BIGINT) * (100 - desconto_pct) + 50) // 100 / 100.0
+                 AS DECIMAL(18,2)) AS valor_total FROM sales""",
     "matriculas": """
         SELECT c_custkey AS id_aluno, CASE c_custkey % 3 WHEN 0 THEN 'BSI' WHEN 1 THEN 'Sistemas de Informacao' ELSE ' BSI ' END AS curso,
                CASE WHEN c_custkey % 13 = 0 THEN 'abc' ELSE CAST(CAST((c_custkey % 101) / 10.0 AS DECIMAL(4,1)) AS VARCHAR) END AS nota
@@ -291,4 +291,6 @@ def with_views(sql: str, recursive: bool = False, **extra: str) -> str:
     if not seen:
         return sql
     ctes = ",\n".join(f"{name} AS ({(extra.get(name) or VIEWS[name]).strip()})" for name in seen)
-    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{sql.strip()}"
+    body = sql.strip()
+    body = f",\n{body[5:]}" if body.startswith("WITH ") else f"\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}{body}"

@@ -9,7 +9,6 @@ from quartzo.catalog.base import query
 from quartzo.functions.columns import money
 from quartzo.operators.keys import drop_duplicate_keys, latest_version, occurrence, surrogate_key
 from quartzo.operators.profile import replicate
-from quartzo.plans import gold as marts
 from quartzo.plans import mobility, sales
 from quartzo.plans.silver import event_base
 
@@ -101,10 +100,9 @@ def head_n(shop):
 
 @query("top_k_revenue", "SELECT data, categoria, pedidos, itens, receita FROM mart_receita ORDER BY receita DESC, data, categoria LIMIT 20")
 def top_k_revenue(shop):
-    from quartzo.catalog.gold import gold_tables
+    from quartzo.catalog.gold import mart, sales_tables
 
-    mart = marts.MARTS["mart_receita_categoria_dia"](gold_tables(shop))
-    return mart.orderBy(F.desc("receita"), "data", "categoria").limit(20)
+    return mart("mart_receita_categoria_dia", sales_tables(shop)).orderBy(F.desc("receita"), "data", "categoria").limit(20)
 
 
 @query("sort_desc", "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS total FROM orders ORDER BY total DESC, o_orderkey")

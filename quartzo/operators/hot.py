@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from quartzo.session import cut_lineage
+
 HOT_ROWS = 1_000_000
 COPY_CHUNK = 100_000
 
@@ -31,12 +33,23 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select(*keys)
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys and rows of hot keys."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
+def split_hot(
+    df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of hot keys or None when no key is hot.
+
+    A table of at most ``hot_rows`` rows has no hot key, so small tables cost one count.
+    The hot rows are stored once, since the segmented ways read them several times.
+    """
+    if hot_rows is None or df.count() <= hot_rows:
+        return df, None
+    hot = cut_lineage(hot_keys(df, keys, hot_rows))
+    if hot.isEmpty():
+        return df, None
+    hot = F.broadcast(hot)
     return (
         df.join(hot, same(df, hot, keys), "left_anti"),
-        df.join(hot, same(df, hot, keys), "left_semi"),
+        cut_lineage(df.join(hot, same(df, hot, keys), "left_semi")),
     )
 
 
@@ -89,9 +102,9 @@ def numbered(
     rest = [c for c in df.columns if c not in keys and c not in order]
     total = _ordered(order + rest)
     plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*total)).cast("bigint")
-    if hot_rows is None:
-        return df.withColumn(name, plain)
     normal, hot = split_hot(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(name, plain)
 
     single = hot.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     cut, segs = _with_segment(single, segment)
@@ -128,9 +141,9 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` up to and including the row; ``order`` must be unique inside a key."""
     frame = lambda names: Window.partitionBy(*names).orderBy(*_ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
-    if hot_rows is None:
-        return df.withColumn(name, F.sum(value).over(frame(keys)))
     normal, hot = split_hot(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(name, F.sum(value).over(frame(keys)))
     done = segmented_sum(hot, keys, order, segment, value, name)
     return normal.withColumn(name, F.sum(value).over(frame(keys))).unionByName(done)
 
@@ -173,9 +186,9 @@ def neighbour(
     payload = F.struct(*values)
     move = F.lead if following else F.lag
     plain = move(payload).over(Window.partitionBy(*keys).orderBy(*_ordered(order)))
-    if hot_rows is None:
-        return df.withColumn(name, plain)
     normal, hot = split_hot(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(name, plain)
 
     cut, segs = _with_segment(hot, segment)
     inside = Window.partitionBy(*keys, *segs).orderBy(*_ordered(order))
@@ -201,9 +214,9 @@ def last_known(
     """
     frame = lambda names: Window.partitionBy(*names).orderBy(*_ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
     plain = F.last(value, ignorenulls=True)
-    if hot_rows is None:
-        return df.withColumn(name, plain.over(frame(keys)))
     normal, hot = split_hot(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(name, plain.over(frame(keys)))
     cut, segs = _with_segment(hot, segment)
     present = F.when(F.col(value).isNotNull(), F.struct(*order))
     carry = _carry(
@@ -224,12 +237,21 @@ def hot_left_join(
     """Join a large left side to a right side whose key is unique.
 
     Rows of hot left keys meet a broadcast of just the right rows of those keys (at most
-    one per hot key); all other rows take the ordinary shuffled or broadcast join.
+    one per hot key); all other rows take the ordinary shuffled or broadcast join. Rows
+    with a missing key match nothing, so they stay out of the shuffle.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    hot = hot_keys(left.dropna(subset=on), on, hot_rows)
-    hot_right = right.join(F.broadcast(hot), on, "left_semi")
-    normal_left = left.join(F.broadcast(hot), on, "left_anti")
-    hot_left = left.join(F.broadcast(hot), on, "left_semi")
-    return normal_left.join(right, on, how).unionByName(hot_left.join(F.broadcast(hot_right), on, how))
+    if left.count() <= hot_rows:
+        return left.join(right, on, how)
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    present = left.filter(~missing)
+    hot = F.broadcast(cut_lineage(hot_keys(present, on, hot_rows)))
+    parts = [
+        present.join(hot, on, "left_anti").join(right, on, how),
+        present.join(hot, on, "left_semi").join(F.broadcast(right.join(hot, on, "left_semi")), on, how),
+    ]
+    if how == "left":
+        unmatched = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in on]
+        parts.append(left.filter(missing).select(*on, *[c for c in left.columns if c not in on], *unmatched))
+    return reduce(DataFrame.unionByName, parts)

@@ -59,17 +59,24 @@ def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def surrogate_key(
-    df: DataFrame, natural: str, name: str, pieces: int = 1024, piece: Column | None = None
+    df: DataFrame,
+    natural: str,
+    name: str,
+    pieces: int = 1024,
+    piece: Column | None = None,
+    small_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Dense 1..N by a unique natural key, without moving all rows into one task.
+    """Dense 1..N by a unique natural key.
 
-    Rows are numbered inside a piece of the key's range; the start of each piece comes
-    from a count per piece (at most ``pieces`` rows, broadcast). A key that is no number
-    needs its own ``piece``, non-decreasing in the key, such as a prefix.
+    A small table is numbered in one task. In a larger one rows are numbered inside a
+    piece of the key's range; the start of each piece comes from a count per piece (at
+    most ``pieces`` rows, broadcast). A key that is no number needs its own ``piece``,
+    non-decreasing in the key, such as a prefix.
     """
+    if df.count() <= small_rows:
+        return df.select(F.row_number().over(Window.orderBy(natural)).cast("bigint").alias(name), *df.columns)
     numeric = piece is None
-    piece = width_segment(df, natural, pieces) if numeric else piece
-    cut = df.withColumn("_piece", piece)
+    cut = df.withColumn("_piece", width_segment(df, natural, pieces) if numeric else piece)
     sizes = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.select(
         F.col("_piece").alias("_of"),

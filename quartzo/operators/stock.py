@@ -58,8 +58,7 @@ def settle(
     open_ = named.filter("_reason is null").drop("_reason")
     normal, hot = split_hot(open_, [key], hot_rows)
     parts = [refused, _settle_in_order(normal, key, seq, qty, cols)]
-    # Only one row per hot book reaches the driver's plan; usually there is none.
-    if not hot.isEmpty():
+    if hot is not None:
         parts.append(_settle_in_rounds(hot, key, seq, qty, cols, chunk))
     return reduce(DataFrame.unionByName, parts)
 
@@ -90,33 +89,42 @@ def _settle_in_order(df: DataFrame, key: str, seq: str, qty: str, cols: list[str
 
 def _settle_in_rounds(df: DataFrame, key: str, seq: str, qty: str, cols: list[str], chunk: int) -> DataFrame:
     segment = [F.expr(f"{seq} div {int(chunk)}")]
-    # One row per hot book: stock left, last settled request.
+    power = lambda exponent: F.pow(F.lit(2.0), exponent).cast("bigint")
+    # One row per hot book: stock left, last request of the round before.
     state = cut_lineage(df.groupBy(key).agg(F.max("_stock").alias("_left"), F.lit(0).cast("bigint").alias("_from")))
-    done = []
+    rounds = []
     while not state.isEmpty():
-        now = state.withColumn("_top", F.pow(F.lit(2.0), F.floor(F.log2(F.greatest("_left", F.lit(1))))).cast("bigint"))
-        todo = df.drop("_stock").join(F.broadcast(now), key).filter(F.col(seq) > F.col("_from"))
-        todo = todo.withColumn("_small", F.when(F.col(qty) < F.col("_top"), F.col(qty)).otherwise(0).cast("bigint"))
-        sums = segmented_sum(todo, [key], [seq], segment, "_small", "_sum")
-        before = F.col("_left") - F.col("_sum") + F.col("_small")
-        sums = sums.withColumn("_before", before).withColumn("_fits", F.col(qty) <= before)
-        ends = F.col("_fits") & (F.col("_before") - F.col(qty) < F.col("_top"))
-        last = sums.filter(ends).groupBy(key).agg(
-            F.min(seq).alias("_to"), F.min_by(F.col("_before") - F.col(qty), seq).alias("_rest")
-        )
-        last = cut_lineage(last)
-        settled = sums.join(F.broadcast(last), key, "left").filter(
-            F.col("_to").isNull() | (F.col(seq) <= F.col("_to"))
-        )
-        done.append(
-            settled.select(
-                *cols,
-                F.when(~F.col("_fits"), "estoque_insuficiente").alias("motivo"),
-                F.col("_before").alias("estoque_antes"),
-            )
-        )
-        state = last.select(key, F.col("_rest").alias("_left"), F.col("_to").alias("_from"))
-    return reduce(DataFrame.unionByName, done)
+        # A request above the stock left can never be accepted any more.
+        todo = df.drop("_stock").join(F.broadcast(state), key).filter((F.col(seq) > F.col("_from")) & (F.col(qty) <= F.col("_left")))
+        largest = todo.groupBy(key).agg(F.max(qty).alias("_largest"))
+        # Above the largest request there is nothing to tell apart, so top need not be higher.
+        top = F.least(power(F.floor(F.log2("_left"))), power(F.floor(F.log2("_largest")) + 1)).cast("bigint")
+        now = cut_lineage(state.join(largest, key, "left").withColumn("_top", top).drop("_largest"))
+        sums = _stock_before(todo.drop("_left", "_from").join(F.broadcast(now), key), [key], seq, qty, segment)
+        rest = F.col("_before") - F.col(qty)
+        ends = (rest >= 0) & (rest < F.col("_top"))
+        last = cut_lineage(sums.filter(ends).groupBy(key).agg(F.min(seq).alias("_to"), F.min_by(rest, seq).alias("_rest")))
+        rounds.append(now.join(F.broadcast(last.select(key, "_to")), key, "left"))
+        state = last.select(key, F.col("_rest").alias("_left"), F.col("_to").alias("_from")).filter("_left > 0")
+        final = last.select(key, F.col("_rest").alias("_left"), F.col("_to").alias("_from")).filter("_left = 0")
+        rounds.append(final.select(key, "_left", "_from", F.lit(1).cast("bigint").alias("_top"), F.lit(None).cast("bigint").alias("_to")))
+    # Every request falls into the round whose span holds it; there are few rounds per book.
+    spans = cut_lineage(reduce(DataFrame.unionByName, rounds))
+    of_round = (F.col(seq) > F.col("_from")) & (F.col("_to").isNull() | (F.col(seq) <= F.col("_to")))
+    placed = df.drop("_stock").join(F.broadcast(spans), key).filter(of_round)
+    decided = _stock_before(placed, [key, "_from"], seq, qty, segment)
+    return decided.select(
+        *cols,
+        F.when(F.col("_before") < F.col(qty), "estoque_insuficiente").alias("motivo"),
+        F.col("_before").alias("estoque_antes"),
+    )
+
+
+def _stock_before(df: DataFrame, keys: list[str], seq: str, qty: str, segment: list) -> DataFrame:
+    """Stock each request meets, as long as its round lasts: left less the smaller requests before it."""
+    small = F.when(F.col(qty) < F.col("_top"), F.col(qty)).otherwise(0).cast("bigint")
+    sums = segmented_sum(df.withColumn("_small", small), keys, [seq], segment, "_small", "_sum")
+    return sums.withColumn("_before", F.col("_left") - F.col("_sum") + F.col("_small")).drop("_sum", "_small")
 
 
 def accepted(decided: DataFrame) -> DataFrame:

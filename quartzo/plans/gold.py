@@ -33,11 +33,18 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     return surrogate_key(shaped, "customer_id", "sk_cliente")
 
 
-def dim_product(products: DataFrame, catalog: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Name, category and price from sales, weight from the approved catalogue, supplier by the sales system's id."""
+def product_keys(products: DataFrame) -> DataFrame:
+    """Products with their surrogate key: all that facts need of the dimension."""
+    return surrogate_key(products, "product_id", "sk_produto")
+
+
+def dim_product(keyed: DataFrame, catalog: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Name, category and price from sales, weight from the approved catalogue, supplier by the sales system's id.
+
+    Catalogue and suppliers must have unique keys.
+    """
     weights = catalog.select("product_id", F.col("weight_kg").alias("peso_kg"))
     owners = suppliers.select("supplier_id", F.col("name").alias("fornecedor"), F.col("state").alias("uf_fornecedor"))
-    keyed = surrogate_key(products, "product_id", "sk_produto")
     return keyed.join(weights, "product_id", "left").join(owners, "supplier_id", "left").select(
         "sk_produto",
         "product_id",
@@ -202,16 +209,17 @@ def mart_campaigns(campaigns: DataFrame, events: DataFrame) -> DataFrame:
 
 def build(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All Gold tables and marts from the approved Silver frames."""
+    keyed = product_keys(silver["products"])
     t = {
         "dim_data": dim_date(silver["orders"], "created_at"),
         "dim_cliente": dim_customer(silver["customers"]),
-        "dim_produto": dim_product(silver["products"], silver["catalog"], silver["suppliers"]),
+        "dim_produto": dim_product(keyed, silver["catalog"], silver["suppliers"]),
         "dim_campanha": dim_campaign(silver["campaigns"]),
     }
     t["fato_vendas"] = fact_sales(
-        silver["order_items"], silver["orders"], silver["payments"], t["dim_cliente"], t["dim_produto"]
+        silver["order_items"], silver["orders"], silver["payments"], t["dim_cliente"], keyed
     )
-    t["fato_eventos"] = fact_events(silver["events"], t["dim_cliente"], t["dim_produto"])
+    t["fato_eventos"] = fact_events(silver["events"], t["dim_cliente"], keyed)
     t["fato_entregas"] = fact_deliveries(silver["shipments"])
     return {**t, **marts(t)}
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. They are plain SQL settings, so they can
 # be applied to a session somebody else created.
@@ -60,10 +60,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quartzo/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint: survives the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store a frame in the shared folder and go on from the stored copy.
+
+    The copy survives the loss of executors, is computed once, and has a known size.
+    """
+    path = scratch(df.sparkSession, "stored")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
