@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quartzo.catalog.base import query
-from quartzo.functions.columns import money
+from quartzo.functions.columns import cents_to_money, money_sum
 from quartzo.operators.keys import duplicated_keys
 from quartzo.operators.median import exact_median
 from quartzo.operators.profile import row_col_count, stacked, value_counts
@@ -62,7 +62,7 @@ def sum_by_state(shop):
         shop.order_items().select(
             "seller_id",
             F.col("quantity").alias("quantidade"),
-            (F.col("unit_price_cents").cast("decimal(14,0)") / 100).cast("decimal(12,2)").alias("preco_unitario"),
+            cents_to_money("unit_price_cents").alias("preco_unitario"),
             F.col("discount_pct").alias("desconto_pct"),
         )
     ).groupBy("seller_id").agg(F.sum("valor_total").alias("total"))
@@ -104,7 +104,7 @@ def mean_raw_vs_treated(shop):
 
 @query("count_by_event_type", "SELECT event_type, count(*) AS eventos FROM silver_events GROUP BY 1 ORDER BY eventos DESC, event_type")
 def count_by_event_type(shop):
-    checked = silver.check_events(shop.events(), shop.customers(), shop.products())
+    checked = silver.check_events(shop.events(), shop.customer_ids(), shop.product_ids())
     return (
         silver.silver_events(checked).groupBy("event_type").agg(F.count(F.lit(1)).alias("eventos")).orderBy(F.desc("eventos"), "event_type")
     )
@@ -116,11 +116,11 @@ def count_by_event_type(shop):
        CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS receita FROM lineitem GROUP BY 1""",
 )
 def distinct_order_count(shop):
-    lines = shop.table("lineitem").select((F.col("l_partkey") % 12).alias("grupo"), "l_orderkey", "l_quantity", money("l_extendedprice").alias("v"))
+    lines = shop.table("lineitem").select((F.col("l_partkey") % 12).alias("grupo"), "l_orderkey", "l_quantity", "l_extendedprice")
     return lines.groupBy("grupo").agg(
         F.count_distinct("l_orderkey").alias("pedidos"),
         F.sum("l_quantity").cast("bigint").alias("itens"),
-        F.sum("v").cast("decimal(18,2)").alias("receita"),
+        money_sum("l_extendedprice").alias("receita"),
     )
 
 
@@ -137,7 +137,7 @@ def sql_df_equivalence(shop):
     by_api = (
         orders.filter("o_orderstatus <> 'P'")
         .groupBy(F.col("o_orderpriority").alias("prioridade"))
-        .agg(F.count(F.lit(1)).alias("pedidos"), F.sum(money("o_totalprice")).cast("decimal(18,2)").alias("total"))
+        .agg(F.count(F.lit(1)).alias("pedidos"), money_sum("o_totalprice").alias("total"))
     )
     by_sql = shop.spark.sql(PRIORITY_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
     return stacked([by_sql.withColumn("via", F.lit("sql")), by_api.withColumn("via", F.lit("dataframe"))])
@@ -204,7 +204,7 @@ def order_payment_matrix(shop):
 def avg_ticket_by_region(shop):
     # Orders are summed per customer before they meet the customers.
     per = shop.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("v")
+        F.count(F.lit(1)).alias("n"), money_sum("o_totalprice").alias("v")
     )
     places = shop.table("nation").join(
         F.broadcast(shop.table("region")), F.col("n_regionkey") == F.col("r_regionkey")
@@ -291,7 +291,7 @@ def compare_periods(shop):
     from pyspark.sql import Window
 
     years = shop.table("orders").groupBy(F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("ano")).agg(
-        F.sum(money("o_totalprice")).cast("decimal(18,2)").alias("total")
+        money_sum("o_totalprice").alias("total")
     )
     before = F.lag("total").over(Window.partitionBy("status").orderBy("ano"))
     return years.withColumn("diferenca", (F.col("total") - before).cast("decimal(18,2)"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quartzo.catalog.base import query
 from quartzo.catalog.lake import checked_catalog, checked_events, checked_shipments
 from quartzo.operators import changes, quality
-from quartzo.operators.keys import drop_duplicate_keys
+from quartzo.operators.keys import drop_duplicate_keys, surrogate_key
 from quartzo.operators.profile import stacked
 from quartzo.plans import gold, lineage, silver, validate, warehouse
 from quartzo.plans.storefront import Storefront
@@ -39,12 +39,12 @@ def gold_tables(shop: Storefront) -> dict:
 
 
 def sales_tables(shop: Storefront) -> dict:
-    """Just the tables that sales figures read."""
+    """Just the tables and columns that sales figures read."""
     orders, keyed = silver.stg_orders(shop.orders()), gold.product_keys(silver.stg_products(shop.products()))
-    customers = gold.dim_customer(silver.stg_customers(shop.customers()))
+    customers = surrogate_key(shop.customer_ids(), "customer_id", "sk_cliente")
     items, payments = silver.stg_order_items(shop.order_items()), silver.stg_payments(shop.payments())
     return {
-        "dim_data": gold.dim_date(orders, "created_at"),
+        "dim_data": gold.dim_date(shop.orders(), "created_at"),
         "dim_cliente": customers,
         "dim_produto": keyed.withColumnRenamed("category", "categoria"),
         "fato_vendas": gold.fact_sales(items, orders, payments, customers, keyed),
@@ -52,14 +52,13 @@ def sales_tables(shop: Storefront) -> dict:
 
 
 def event_tables(shop: Storefront) -> dict:
-    """Just the tables that navigation figures read."""
-    customers, products = silver.stg_customers(shop.customers()), silver.stg_products(shop.products())
-    keyed, people = gold.product_keys(products), gold.dim_customer(customers)
-    events = silver.silver_events(silver.check_events(shop.events(), customers, products))
+    """Just the tables and columns that navigation figures read."""
+    people = surrogate_key(shop.customer_ids(), "customer_id", "sk_cliente")
+    keyed = surrogate_key(shop.product_ids(), "product_id", "sk_produto")
     return {
         "dim_campanha": gold.dim_campaign(shop.campaigns()),
         "dim_produto": keyed,
-        "fato_eventos": gold.fact_events(events, people, keyed),
+        "fato_eventos": gold.fact_events(silver.silver_events(checked_events(shop)), people, keyed),
     }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quartzo.catalog.base import query
-from quartzo.functions.columns import money
+from quartzo.functions.columns import money_sum
 from quartzo.functions.domains import CATEGORIES
 from quartzo.operators import joins
 from quartzo.operators.hot import hot_left_join
@@ -21,8 +21,8 @@ from quartzo.plans import academic, bookstore, silver
 )
 def left_join_fk_check(shop):
     events = shop.events().select("event_id", "_source_file", "customer_id", "product_id")
-    customers = shop.customers().select(F.col("customer_id").alias("_c"))
-    products = shop.products().select(F.col("product_id").alias("_p"))
+    customers = shop.customer_ids().select(F.col("customer_id").alias("_c"))
+    products = shop.product_ids().select(F.col("product_id").alias("_p"))
     joined = events.join(customers, F.col("customer_id") == F.col("_c"), "left").join(
         products, F.col("product_id") == F.col("_p"), "left"
     )
@@ -186,10 +186,10 @@ def join_duplication_check(shop):
        FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""",
 )
 def broadcast_join(shop):
-    customers = shop.table("customer").select(F.col("c_nationkey").alias("n_nationkey"), money("c_acctbal").alias("saldo"))
+    customers = shop.table("customer").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_acctbal"))
     states = shop.table("nation").select("n_nationkey", F.col("n_name").alias("uf"))
     joined = joins.checked_broadcast_join(customers, states, ["n_nationkey"])
-    return joined.groupBy("uf").agg(F.count(F.lit(1)).alias("clientes"), F.sum("saldo").cast("decimal(18,2)").alias("saldo"))
+    return joined.groupBy("uf").agg(F.count(F.lit(1)).alias("clientes"), money_sum("c_acctbal").alias("saldo"))
 
 
 @query(

@@ -30,7 +30,7 @@ EVENT_SCHEMA = (
 
 
 def checked_events(shop: Storefront):
-    return silver.check_events(shop.events(), shop.customers(), shop.products())
+    return silver.check_events(shop.events(), shop.customer_ids(), shop.product_ids())
 
 
 def checked_catalog(shop: Storefront):
@@ -387,10 +387,10 @@ def rule_scorecard(shop):
 )
 def reprocess_quarantine(shop):
     """The missing customers were registered meanwhile: part of the quarantine can return."""
-    known = shop.customers().select("customer_id")
+    known = shop.customer_ids()
     registered = known.unionByName(known.select((F.col("customer_id") + GHOST).alias("customer_id")))
     held = silver.quarantine(checked_events(shop), RUN)
-    return silver.recheck_events(held, registered, shop.products()).select("event_id", "_source_file", "motivos")
+    return silver.recheck_events(held, registered, shop.product_ids()).select("event_id", "_source_file", "motivos")
 
 
 @query("range_gate", "SELECT id_aluno, nota FROM (SELECT id_aluno, try_cast(nota AS DECIMAL(4,2)) AS nota FROM matriculas) WHERE nota IS NOT NULL")

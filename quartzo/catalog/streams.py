@@ -69,7 +69,7 @@ def stream_quality_split(shop):
     lake = landed_events(shop)
     stream = jobs.landing_stream(shop.spark, lake.path("landing", "events"), EVENT_SCHEMA)
     out = scratch(shop.spark, "stream-quality")
-    jobs.quality_split(stream, shop.customers(), shop.products(), lake.path("landing"), out, scratch(shop.spark, "check"), RUN)
+    jobs.quality_split(stream, shop.customer_ids(), shop.product_ids(), lake.path("landing"), out, scratch(shop.spark, "check"), RUN)
     good = shop.spark.read.parquet(f"{out}/silver").select("event_id", "event_type", "device", F.lit("").alias("motivos"))
     return good.unionByName(shop.spark.read.parquet(f"{out}/quarantine").select("event_id", "event_type", "device", "motivos"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quartzo.catalog.base import query
-from quartzo.functions.columns import money
+from quartzo.functions.columns import cents_to_money, to_cents
 from quartzo.operators.profile import stacked
 from quartzo.plans import tuning
 from quartzo.session import scratch
@@ -13,7 +13,7 @@ from quartzo.sources import formats
 
 
 def lines(shop):
-    return shop.table("lineitem").select(F.col("l_orderkey").alias("order_id"), money("l_extendedprice").alias("valor"))
+    return shop.table("lineitem").select(F.col("l_orderkey").alias("order_id"), cents_to_money(to_cents("l_extendedprice")).alias("valor"))
 
 
 def statuses(shop):
@@ -88,7 +88,7 @@ def early_filter_prune(shop):
        FROM lineitem GROUP BY 1""",
 )
 def salted_aggregation(shop):
-    rows = shop.table("lineitem").select((F.col("l_suppkey") % 3).alias("grupo"), "l_orderkey", "l_linenumber", money("l_extendedprice").alias("v"))
+    rows = shop.table("lineitem").select((F.col("l_suppkey") % 3).alias("grupo"), "l_orderkey", "l_linenumber", cents_to_money(to_cents("l_extendedprice")).alias("v"))
     return tuning.salted_sum(rows, "grupo", "v", ["l_orderkey", "l_linenumber"])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quartzo.catalog.base import query
-from quartzo.functions.columns import money
+from quartzo.functions.columns import money, money_sum
 from quartzo.operators.keys import drop_duplicate_keys, latest_version, occurrence, surrogate_key
 from quartzo.operators.profile import replicate
 from quartzo.plans import mobility, sales
@@ -69,7 +69,7 @@ DAYS_SQL = "SELECT CAST(o_orderdate AS DATE) AS dia, CAST(sum(CAST(o_totalprice
 
 def per_day(shop):
     return shop.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("dia")).agg(
-        F.sum(money("o_totalprice")).cast("decimal(18,2)").alias("total")
+        money_sum("o_totalprice").alias("total")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,13 +19,23 @@ def money(c: Column | str) -> Column:
     return column(c).cast(MONEY)
 
 
-def cents_to_money(c: Column | str) -> Column:
+def cents_to_money(c: Column | str, kind: str = MONEY) -> Column:
     """Integer cents to decimal money: 1999 becomes 19.99."""
-    return (column(c).cast("decimal(14,0)") / F.lit(100).cast("decimal(3,0)")).cast(MONEY)
+    return (column(c).cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast(kind)
 
 
 def to_cents(c: Column | str) -> Column:
-    return (money(c) * 100).cast("bigint")
+    """Whole cents of a double that holds at most two decimals.
+
+    Working in cents keeps sums exact, and is several times faster than casting each
+    double to decimal, which goes through text.
+    """
+    return F.floor(column(c) * 100 + F.lit(0.5)).cast("bigint")
+
+
+def money_sum(c: Column | str) -> Column:
+    """Exact decimal sum of a double money column, as an aggregate."""
+    return cents_to_money(F.sum(to_cents(c)).cast("decimal(18,0)"), "decimal(18,2)")
 
 
 def code(c: Column | str) -> Column:
@@ -96,9 +108,9 @@ def pseudonym(c: Column | str, salt: str) -> Column:
 
 
 def line_total(quantity: Column | str, unit_price: Column | str, discount_pct: Column | str | None = None) -> Column:
-    """quantity * price, less a percentage, rounded half up to cents in decimal arithmetic."""
-    gross = column(quantity).cast("decimal(10,0)") * money(unit_price)
+    """quantity * price, less a whole percentage, rounded half up to cents."""
     if discount_pct is None:
-        return gross.cast("decimal(18,2)")
-    kept = F.lit(100).cast("decimal(3,0)") - column(discount_pct).cast("decimal(3,0)")
-    return F.round(gross * kept / F.lit(100).cast("decimal(3,0)"), 2).cast("decimal(18,2)")
+        return (column(quantity).cast("decimal(10,0)") * column(unit_price)).cast("decimal(18,2)")
+    cents = (column(unit_price) * 100).cast("bigint")
+    exact = column(quantity) * cents * (F.lit(100) - column(discount_pct))
+    return cents_to_money(F.call_function("div", exact + 50, F.lit(100)), "decimal(18,2)")

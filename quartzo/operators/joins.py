@@ -33,8 +33,7 @@ def _single(df: DataFrame, on: list[str], side: str) -> DataFrame:
     guard = F.when(
         F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"repeated key on the {side} side: "), F.to_json(F.struct(*on)))).cast("bigint")
     ).otherwise(F.col("_n"))
-    # The count has to stay in use, or column pruning would drop the guard.
-    return packed.filter(guard == 1).select(*on, *[F.col("_row")[v].alias(v) for v in values])
+    return packed.select(*on, guard.alias(f"_once_{side}"), *[F.col("_row")[v].alias(v) for v in values])
 
 
 def join_validated(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", validate: str = "1:1") -> DataFrame:
@@ -45,11 +44,17 @@ def join_validated(left: DataFrame, right: DataFrame, on: list[str], how: str =
     if validate not in ("1:1", "1:m", "m:1"):
         raise ValueError(f"unknown validation {validate!r}")
     first, second = validate.split(":")
+    guards = []
     if first == "1":
-        left = _single(left, on, "left")
+        left, guards = _single(left, on, "left"), ["_once_left"]
     if second == "1":
-        right = _single(right, on, "right")
-    return left.join(right, on, how)
+        right, guards = _single(right, on, "right"), [*guards, "_once_right"]
+    joined = left.join(right, on, how)
+    # The guards stay in use after the join: otherwise a query that reads no column of a
+    # side would have that side, and its check, optimised away.
+    for guard in guards:
+        joined = joined.filter(F.coalesce(guard, F.lit(1)) == 1)
+    return joined.drop(*guards)
 
 
 def domain_join(df: DataFrame, received: str, values: list[str], name: str) -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from quartzo.functions.columns import money, to_cents
+from quartzo.functions.columns import to_cents
 from quartzo.functions.domains import CATEGORIES, FUNNEL_STEPS
 
 GHOST = 1_000_000_000  # added to a key so that it points nowhere
@@ -32,13 +33,19 @@ def add_days(day: Column, days: Column) -> Column:
     return F.date_add(day, days.cast("int"))
 
 
+_SCHEMAS: dict[str, StructType] = {}  # reading footers again for each use of a table costs a job
+
+
 class Storefront:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        path = f"{self.dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # reference data -----------------------------------------------------
 
@@ -58,6 +65,13 @@ class Storefront:
             add_days(F.lit("2020-01-01").cast("date"), F.col("c_custkey") % 1000).alias("since"),
         )
 
+    def customer_ids(self) -> DataFrame:
+        """Just the keys, for checking references."""
+        return self.table("customer").select(F.col("c_custkey").alias("customer_id"))
+
+    def product_ids(self) -> DataFrame:
+        return self.table("part").select(F.col("p_partkey").alias("product_id"))
+
     def products(self) -> DataFrame:
         key = F.col("p_partkey")
         return self.table("part").select(
@@ -160,7 +174,7 @@ class Storefront:
             F.col("l_partkey").alias("product_id"),
             qty.alias("quantity"),
             # unit price to the cent, half up, in whole cents
-            F.floor((cents * 2 + qty) / (qty * 2)).cast("bigint").alias("unit_price_cents"),
+            F.call_function("div", cents * 2 + qty, qty * 2).alias("unit_price_cents"),
             F.col("l_suppkey").alias("seller_id"),
             cents.alias("line_cents"),
             to_cents("l_discount").alias("discount_pct"),

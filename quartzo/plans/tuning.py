@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartzo.functions.columns import money
+from quartzo.functions.columns import money_sum
 
 
 def plan_text(df: DataFrame) -> str:
@@ -65,14 +65,14 @@ def salted_sum(df: DataFrame, key: str, value: str, spread: list[str], salts: in
 def early(table: DataFrame, since: str) -> DataFrame:
     """Filter on the raw column and two columns only: both reach the scan."""
     recent = table.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
-    return recent.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("pedidos"), F.sum(money("o_totalprice")).cast("decimal(18,2)").alias("total"))
+    return recent.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("pedidos"), money_sum("o_totalprice").alias("total"))
 
 
 def late(table: DataFrame, since: str) -> DataFrame:
     """The same filter on a computed text: every row has to be read."""
     text = F.date_format("o_orderdate", "yyyy-MM-dd")
     wide = table.withColumn("dia", text).filter(F.col("dia") >= since)
-    return wide.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("pedidos"), F.sum(money("o_totalprice")).cast("decimal(18,2)").alias("total"))
+    return wide.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("pedidos"), money_sum("o_totalprice").alias("total"))
 
 
 def measured(spark: SparkSession, steps: dict[str, Callable[[], DataFrame]]) -> DataFrame:
