@@ -174,12 +174,12 @@ def equal_contents(shop):
 @query(
     "inspect_layer",
     """SELECT event_id, session_id, event_type, event_at, device, source, _source_file FROM raw_events
-       ORDER BY event_id, _source_file LIMIT 20""",
+       ORDER BY event_id NULLS FIRST, _source_file NULLS FIRST, session_id NULLS FIRST, event_type NULLS FIRST, event_at NULLS FIRST, device NULLS FIRST, source NULLS FIRST LIMIT 20""",
 )
 def inspect_layer(shop):
     lake = Lake(shop.spark, scratch(shop.spark, "lake"))
     lake.write(shop.events(), "bronze", "events")
-    sample = lake.inspect("bronze", "events", 20, ["event_id", "_source_file"])
+    sample = lake.inspect("bronze", "events", 20, ["event_id", "_source_file", "session_id", "event_type", "event_at", "device", "source"])
     return sample.select("event_id", "session_id", "event_type", "event_at", "device", "source", "_source_file")
 
 

@@ -103,14 +103,14 @@ def fato_entregas(shop):
     return gold.fact_deliveries(quality.approved(checked_shipments(shop)))
 
 
-@query("scd1", "SELECT order_id, customer_id, status, updated_at FROM raw_orders QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1")
+@query("scd1", "SELECT order_id, customer_id, status, updated_at FROM raw_orders QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, customer_id, status, channel, total_cents, created_at) = 1")
 def scd1(shop):
     return changes.scd1(shop.orders(), ["order_id"], ["updated_at"]).select("order_id", "customer_id", "status", "updated_at")
 
 
 HISTORY = {
     "cambios": """SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS dia, o_orderpriority AS segmento FROM orders
-        QUALIFY row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC, o_orderpriority) = 1""",
     "inicios": """SELECT * FROM cambios QUALIFY lag(customer_id) OVER (PARTITION BY customer_id ORDER BY dia) IS NULL
         OR segmento IS DISTINCT FROM lag(segmento) OVER (PARTITION BY customer_id ORDER BY dia)""",
     "vigencias": """SELECT customer_id, segmento, dia AS valido_de,

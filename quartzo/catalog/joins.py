@@ -105,9 +105,10 @@ def book_author(shop):
 
 @query(
     "sale_with_items",
-    """SELECT o.order_id, o.customer_id, count(i.item_id) AS itens, CAST(coalesce(sum(i.line_cents), 0) AS BIGINT) AS centavos,
+    """WITH p AS (SELECT *, (row_number() OVER (PARTITION BY order_id ORDER BY item_id, line_cents, quantity) - 1) // 1000 AS pagina FROM raw_order_items)
+       SELECT o.order_id, o.customer_id, coalesce(i.pagina, 0) AS pagina, count(i.item_id) AS itens, CAST(coalesce(sum(i.line_cents), 0) AS BIGINT) AS centavos,
        string_agg(CAST(i.item_id AS VARCHAR), '|' ORDER BY i.item_id, i.line_cents, i.quantity) AS lista
-       FROM stg_orders o LEFT JOIN raw_order_items i ON i.order_id = o.order_id GROUP BY o.order_id, o.customer_id""",
+       FROM stg_orders o LEFT JOIN p i ON i.order_id = o.order_id GROUP BY ALL""",
 )
 def sale_with_items(shop):
     child = shop.order_items().select("order_id", "item_id", "quantity", "line_cents")
@@ -124,6 +125,7 @@ def sale_with_items(shop):
     return sales.select(
         "order_id",
         "customer_id",
+        "pagina",
         F.coalesce(F.size("itens").cast("bigint"), F.lit(0)).alias("itens"),
         F.coalesce(F.aggregate("itens", F.lit(0).cast("bigint"), lambda a, x: a + x["line_cents"]), F.lit(0)).alias("centavos"),
         ids.alias("lista"),

@@ -196,7 +196,7 @@ def standardize_silver(shop):
 @query(
     "priority_dedupe",
     """SELECT product_id, category, weight_kg, _source_file FROM raw_catalog
-       QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY CASE WHEN weight_kg <> '' THEN 0 ELSE 1 END, _source_file DESC) = 1""",
+       QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY CASE WHEN weight_kg <> '' THEN 0 ELSE 1 END, _source_file DESC, category, weight_kg, supplier_id) = 1""",
 )
 def best_row(shop):
     complete = F.when(F.col("weight_kg") != "", 0).otherwise(1)

@@ -56,12 +56,12 @@ def stream_peak_alert(shop):
     return jobs.peaks(shop.spark, hourly(shop), 15).select(F.col("inicio").cast("timestamp_ntz").alias("inicio"), "eventos")
 
 
-@query("stream_dedup", "SELECT event_id, event_type FROM events")
+@query("stream_dedup", "SELECT DISTINCT event_id FROM events")
 def stream_dedup(shop):
     _, stream = timed_events(shop)
     out = scratch(shop.spark, "stream-dedup")
     jobs.dedup(stream, "event_id", "ts", "40 days", out, scratch(shop.spark, "check"))
-    return shop.spark.read.parquet(out).select("event_id", "event_type")
+    return shop.spark.read.parquet(out).select("event_id")
 
 
 @query("stream_quality_split", "SELECT event_id, event_type, device, motivos FROM chk_events")

@@ -129,10 +129,10 @@ VIEWS: dict[str, str] = {
     "stg_orders": """
         SELECT order_id, customer_id, lower(trim(status)) AS status, lower(trim(channel)) AS channel,
                CAST(total_cents / 100.0 AS DECIMAL(12,2)) AS total, created_at, updated_at
-        FROM raw_orders QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""",
+        FROM raw_orders QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, customer_id, status, channel, total_cents, created_at) = 1""",
     "stg_payments": """
         SELECT order_id, lower(trim(status)) AS status, lower(trim(method)) AS method, updated_at
-        FROM raw_payments QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""",
+        FROM raw_payments QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, status, method) = 1""",
     "stg_order_items": """
         SELECT item_id, order_id, product_id, quantity, CAST(unit_price_cents / 100.0 AS DECIMAL(12,2)) AS unit_price
         FROM raw_order_items QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY shipped_on DESC, order_id, product_id,
@@ -142,7 +142,7 @@ VIEWS: dict[str, str] = {
                nullif(lower(trim(event_type)), '') AS event_type, try_cast(event_at AS TIMESTAMP) AS event_at,
                event_at AS event_at_raw, nullif(lower(trim(device)), '') AS device,
                nullif(lower(trim(source)), '') AS source, _source_file, injected_issue,
-               row_number() OVER (PARTITION BY event_id ORDER BY _source_file) AS ocorrencia
+               row_number() OVER (PARTITION BY event_id ORDER BY _source_file NULLS FIRST, event_at NULLS FIRST, session_id NULLS FIRST, customer_id NULLS FIRST, product_id NULLS FIRST, order_id NULLS FIRST, event_type NULLS FIRST, device NULLS FIRST, source NULLS FIRST, injected_issue NULLS FIRST) AS ocorrencia
         FROM raw_events""",
     "chk_events": """
         SELECT b.*, concat_ws(', ',
@@ -167,7 +167,7 @@ VIEWS: dict[str, str] = {
         FROM (SELECT try_cast(r.product_id AS BIGINT) AS product_id, r.category AS category_raw, d.categoria AS category,
                      try_cast(nullif(trim(r.weight_kg), '') AS DECIMAL(8,2)) AS weight_kg,
                      try_cast(r.supplier_id AS BIGINT) AS supplier_id, _source_file,
-                     row_number() OVER (PARTITION BY r.product_id ORDER BY _source_file) AS ocorrencia
+                     row_number() OVER (PARTITION BY r.product_id ORDER BY _source_file, r.category, r.weight_kg, r.supplier_id) AS ocorrencia
               FROM raw_catalog r LEFT JOIN domain d ON lower(d.categoria) = lower(trim(replace(r.category, '0', 'o')))) k
         LEFT JOIN stg_suppliers s ON s.supplier_id = k.supplier_id""",
     "chk_inventory": """
@@ -239,7 +239,7 @@ VIEWS: dict[str, str] = {
     "mobility": "SELECT * FROM mob_first UNION ALL SELECT * FROM mob_first WHERE evento_id % 53 = 0",
     "mob_kept": """
         SELECT DISTINCT ON (evento_id) * REPLACE (CASE modal WHEN 'Onibus' THEN 'ônibus' ELSE modal END AS modal)
-        FROM mobility ORDER BY evento_id""",
+        FROM mobility ORDER BY evento_id, data_hora NULLS FIRST, cidade NULLS FIRST, mobility.modal NULLS FIRST, distancia_km NULLS FIRST, duracao_min NULLS FIRST, status NULLS FIRST, fonte NULLS FIRST""",
     "mob_valid": "SELECT * FROM mob_kept WHERE duracao_min > 0 AND duracao_min < 240",
     "mob_clean": """
         SELECT * REPLACE (CAST(round(coalesce(CAST(distancia_km AS DOUBLE), (SELECT median(CAST(distancia_km AS DOUBLE)) FROM mob_valid)), 3)

@@ -16,7 +16,7 @@ from quartzo.plans.silver import event_base
 @query(
     "latest_version",
     """SELECT order_id, status, total_cents, updated_at FROM raw_orders
-       QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""",
+       QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, customer_id, status, channel, total_cents, created_at) = 1""",
 )
 def newest(shop):
     return latest_version(shop.orders(), ["order_id"], ["updated_at"]).select("order_id", "status", "total_cents", "updated_at")
@@ -112,9 +112,8 @@ def sort_desc(shop):
 
 @query("union_all", "SELECT evento_id, data_hora, modal FROM mobility")
 def union_all(shop):
-    once = drop_duplicate_keys(mobility.trips(shop), ["evento_id"], ["data_hora"])
-    repeated = once.filter(F.col("evento_id") % 53 == 0)
-    return once.unionByName(repeated).select("evento_id", "data_hora", "modal")
+    once = mobility.first_trips(shop)
+    return once.unionByName(once.filter(F.col("evento_id") % 53 == 0)).select("evento_id", "data_hora", "modal")
 
 
 @query("replicate_rows", "SELECT event_id, user_id, CAST(c AS INTEGER) AS copia FROM events, range(1, 5) AS r(c)")
@@ -122,7 +121,7 @@ def replicate_rows(shop):
     return replicate(shop.table("events").select("event_id", "user_id"), 4)
 
 
-@query("drop_duplicate_keys", "SELECT DISTINCT ON (evento_id) evento_id, data_hora, cidade, modal FROM mobility ORDER BY evento_id")
+@query("drop_duplicate_keys", "SELECT DISTINCT ON (evento_id) evento_id, data_hora, cidade, modal FROM mobility ORDER BY evento_id, data_hora NULLS FIRST, cidade NULLS FIRST, modal NULLS FIRST, distancia_km NULLS FIRST, duracao_min NULLS FIRST, status NULLS FIRST, fonte NULLS FIRST")
 def drop_duplicates(shop):
     return drop_duplicate_keys(mobility.trips(shop), ["evento_id"], ["data_hora"]).select("evento_id", "data_hora", "cidade", "modal")
 

@@ -11,6 +11,7 @@ There are at most rows / hot_rows hot keys, which bounds what is broadcast.
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,8 @@ from pyspark.sql import Window
 
 from quartzo.session import cut_lineage
 
-HOT_ROWS = 1_000_000
+# Rows of one key that a single task may still take.
+HOT_ROWS = int(os.environ.get("QUARTZO_HOT_ROWS", 1_000_000))
 COPY_CHUNK = 100_000
 
 
