@@ -19,13 +19,10 @@ HEADLINE = [
     "mart_receita_categoria_dia",
     "receita_aprovada",
     "fato_vendas",
-    "dim_produto",
     "mart_funil_origem",
     "mart_entregas_transportadora",
-    "mart_campanhas",
     "check_events",
     "quality_report",
-    "reconcile",
     "latest_version",
     "occurrence_number",
     "surrogate_key",
@@ -34,21 +31,14 @@ HEADLINE = [
     "clean_mobility",
     "quality_audit",
     "global_median",
-    "mean_by_group",
     "events_per_hour",
     "sum_by_state",
     "derived_total",
     "top_k_revenue",
     "inner_join_star",
-    "distinct_order_count",
-    "skew_join",
     "upsert_by_key",
-    "apply_cdc",
     "settle_sales",
-    "read_hive_partitions",
-    "bronze_ingest",
     "split_silver",
-    "stream_hourly_counts",
     "validate_all",
 ]
 
@@ -72,6 +62,8 @@ def main() -> None:
             known[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times[1:]), 3)
+    sizes = {r.formato: r.bytes for r in known["format_size_report"](spark, sf_dir).collect()}
+    sent = {r.rodada: r.pastas_enviadas for r in known["changed_files"](spark, sf_dir).collect()}
     print(
         json.dumps(
             {
@@ -82,6 +74,9 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
                 "spark": spark.version,
+                "events_bytes": sizes,
+                "folders_sent_first_run": sent[1],
+                "folders_sent_second_run": sent[2],
             }
         )
     )

@@ -11,7 +11,7 @@ from quartzo.operators.keys import drop_duplicate_keys, surrogate_key
 from quartzo.operators.profile import stacked
 from quartzo.plans import gold, lineage, silver, validate, warehouse
 from quartzo.plans.storefront import Storefront
-from quartzo.session import scratch
+from quartzo.session import cut_lineage, scratch
 from quartzo.sources import formats
 
 
@@ -140,7 +140,8 @@ def scd2(shop):
     **HISTORY,
 )
 def scd2_asof_lookup(shop):
-    history = changes.scd2(customer_changes(shop), "customer_id", ["segmento"], "dia")
+    # A dimension is a stored table; facts are looked up against the stored copy.
+    history = cut_lineage(changes.scd2(customer_changes(shop), "customer_id", ["segmento"], "dia"))
     facts = shop.table("orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.date_add(F.col("o_orderdate").cast("date"), 20).alias("dia"),

@@ -20,7 +20,7 @@ from quartzo.session import scratch
 from quartzo.sources import formats
 from quartzo.sources import lake as layers
 from quartzo.sources.control import Control, changed_since
-from quartzo.sources.files import new_files
+from quartzo.sources.files import new_files, relative_key
 
 RUN = datetime(2024, 2, 1)
 EVENT_SCHEMA = (
@@ -111,12 +111,13 @@ def file_manifest_skip(shop):
     path = scratch(shop.spark, "daily")
     events = shop.table("events").select("event_id", F.col("ts").cast("date").alias("dia"))
     formats.write_partitioned(events.withColumn("data", F.col("dia").cast("string")), path, ["data"])
-    listing = formats.file_sizes(shop.spark, path).select(F.col("path").alias("key"))
-    seen = listing.filter(F.regexp_extract("key", "data=([0-9-]+)/", 1) <= "2024-01-10")
-    todo = [r.key for r in new_files(listing, seen).collect()]
-    if not todo:
-        return events.limit(0)
-    return shop.spark.read.parquet(*todo).select("event_id", "dia")
+    folder = F.regexp_extract("key", "^data=([0-9-]+)/", 1)
+    listing = formats.file_sizes(shop.spark, path).select(relative_key(F.col("path"), path).alias("key")).withColumn("data", folder)
+    todo = new_files(listing, listing.filter(F.col("data") <= "2024-01-10"))
+    # The folder column prunes whole folders at run time, the file key decides inside them.
+    stored = shop.spark.read.schema("event_id bigint, dia date, data string").parquet(path)
+    tagged = stored.withColumn("key", relative_key(F.col("_metadata.file_path"), path))
+    return tagged.join(todo, ["data", "key"], "left_semi").select("event_id", "dia")
 
 
 @query("run_tagging", "SELECT order_id, status, 'carga-2024-02-01' AS run_id FROM stg_orders")

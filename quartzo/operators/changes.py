@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartzo.functions.domains import FAR_FUTURE
-from quartzo.operators.hot import HOT_ROWS, last_known, neighbour
+from quartzo.operators.hot import HOT_ROWS, any_hot, last_known, neighbour
 from quartzo.operators.keys import latest_version, surrogate_key
 
 
@@ -64,6 +64,8 @@ def scd2(
     """
     segment = segment or [F.trunc(day, "year")]
     narrow = changes.select(key, day, *attrs)
+    # Later steps work on fewer rows of the same keys, so one look is enough.
+    hot_rows = hot_rows if any_hot(narrow, [key], hot_rows) else None
     seen = neighbour(narrow, [key], [day], segment, [F.lit(True).alias("seen"), *attrs], "_before", hot_rows=hot_rows)
     same = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col("_before")[a]) for a in attrs])
     starts = seen.filter(F.col("_before").isNull() | ~same).drop("_before")

@@ -55,6 +55,11 @@ def split_hot(
     )
 
 
+def any_hot(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> bool:
+    """Whether some key is hot; lets several steps over the same rows ask once."""
+    return hot_rows is not None and df.count() > hot_rows and not hot_keys(df, keys, hot_rows).isEmpty()
+
+
 def width_segment(df: DataFrame, value: str, pieces: int = 1024) -> Column:
     """Equal-width piece of a numeric column's whole range, 0 .. pieces - 1.
 
