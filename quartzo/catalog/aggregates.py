@@ -10,6 +10,7 @@ from quartzo.operators.keys import duplicated_keys
 from quartzo.operators.median import exact_median
 from quartzo.operators.profile import row_col_count, stacked, value_counts
 from quartzo.plans import mobility, sales, silver
+from quartzo.session import cut_lineage
 
 
 @query("row_col_count", "SELECT count(*) AS linhas, 8 AS colunas FROM mobility")
@@ -165,7 +166,7 @@ def scalar_subquery_counts(shop):
     from quartzo.plans.validate import counts
 
     events = shop.events()
-    checked = silver.check_events(events, shop.customers(), shop.products())
+    checked = cut_lineage(silver.check_events(events, shop.customer_ids(), shop.product_ids()))
     return counts({"bronze": events, "silver": silver.silver_events(checked), "quarentena": rejected(checked)})
 
 

@@ -273,6 +273,7 @@ def no_orphan_keys(shop):
 )
 def approved_revenue_valid_only(shop):
     t = sales_tables(shop)
+    t["fato_vendas"] = cut_lineage(t["fato_vendas"])
     return validate.approved_revenue_valid_only(t["fato_vendas"], mart("mart_receita_categoria_dia", t))
 
 
@@ -316,9 +317,9 @@ def lineage_trace(shop):
 @query("full_refresh", "SELECT event_date, count(*) AS eventos FROM silver_events GROUP BY 1")
 def full_refresh(shop):
     path = scratch(shop.spark, "silver")
-    approved = silver.silver_events(checked_events(shop))
     for _ in range(2):
-        formats.write_partitioned(approved.select("event_id", "event_type", "event_date"), path, ["event_date"])
+        approved = silver.silver_events(checked_events(shop)).select("event_id", "event_type", "event_date")
+        formats.write_partitioned(approved, path, ["event_date"])
     return shop.spark.read.parquet(path).groupBy("event_date").agg(F.count(F.lit(1)).alias("eventos"))
 
 
@@ -329,7 +330,7 @@ def full_refresh(shop):
 def partition_refresh(shop):
     """Only the days from the 20th on are written again; the older folders stay."""
     path = scratch(shop.spark, "silver")
-    approved = silver.silver_events(checked_events(shop)).select("event_id", "event_date")
+    approved = cut_lineage(silver.silver_events(checked_events(shop)).select("event_id", "event_date"))
     formats.write_partitioned(approved.withColumn("refeito", F.lit(False)), path, ["event_date"])
     recent = approved.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date")).withColumn("refeito", F.lit(True))
     formats.write_partitioned(recent, path, ["event_date"])

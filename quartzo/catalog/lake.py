@@ -16,7 +16,7 @@ from quartzo.operators.profile import stacked
 from quartzo.operators.quality import Rule
 from quartzo.plans import academic, silver
 from quartzo.plans.storefront import Storefront, every
-from quartzo.session import scratch
+from quartzo.session import cut_lineage, scratch
 from quartzo.sources import formats
 from quartzo.sources import lake as layers
 from quartzo.sources.control import Control, changed_since
@@ -146,7 +146,7 @@ def order_changes(orders):
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""",
 )
 def upsert_by_key(shop):
-    base = silver.stg_orders(shop.orders()).select("order_id", "status", "updated_at")
+    base = cut_lineage(silver.stg_orders(shop.orders()).select("order_id", "status", "updated_at"))
     return changes.upsert(base, order_changes(base), ["order_id"], "updated_at")
 
 
@@ -169,7 +169,7 @@ def delete_by_key(shop):
        UNION ALL SELECT order_id, status FROM l WHERE op <> 'D'""",
 )
 def apply_cdc(shop):
-    base = silver.stg_orders(shop.orders()).select("order_id", "status")
+    base = cut_lineage(silver.stg_orders(shop.orders()).select("order_id", "status"))
     change = lambda cond, status, seq, op, move=0: base.filter(cond).select(
         (F.col("order_id") + move).alias("order_id"), status.alias("status"), F.lit(seq).alias("seq"), F.lit(op).alias("op")
     )
@@ -306,7 +306,8 @@ def quality_report(shop):
        count(*) FILTER (WHERE motivos <> ''), (SELECT count(*) FROM raw_shipments) = count(*) FROM chk_shipments""",
 )
 def reconcile(shop):
-    events, shipments = checked_events(shop), checked_shipments(shop)
+    # Stored once: both sides of a split read the same checked rows.
+    events, shipments = cut_lineage(checked_events(shop)), cut_lineage(checked_shipments(shop))
     return stacked(
         [
             quality.reconcile(shop.events(), *quality.split(events), "events"),

@@ -105,6 +105,13 @@ def fact_sales(
     )
 
 
+def orphan_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Items the inner joins of :func:`fact_sales` would drop, with the parent they lack."""
+    no_order = items.join(orders.select("order_id"), "order_id", "left_anti").select("item_id", F.lit("pedido").alias("falta"))
+    no_product = items.join(products.select("product_id"), "product_id", "left_anti").select("item_id", F.lit("produto").alias("falta"))
+    return no_order.unionByName(no_product)
+
+
 def fact_events(events: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """One row per approved event."""
     return (

@@ -51,15 +51,18 @@ def write_parquet(df: DataFrame, path: str, codec: str = "zstd", mode: str = "ov
     df.write.mode(mode).option("compression", codec).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], codec: str = "zstd", max_records: int = 5_000_000) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, by: list[str], codec: str = "zstd", max_records: int = 5_000_000, gather: bool = True
+) -> None:
     """Write one folder per value of ``by``; folders that get no rows stay as they are.
 
-    The rebalance gathers each folder's rows into few files, and splits a folder that
-    holds a large share of the rows over several tasks.
+    Gathering rebalances rows by folder, so that each has few files, and splits a folder
+    that holds a large share of the rows over several tasks. Rows that already lie
+    together, as when each folder belongs to one input file, need no such shuffle.
     """
+    laid = df.hint("rebalance", *by) if gather else df
     (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
+        laid.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", codec)
         .option("maxRecordsPerFile", max_records)

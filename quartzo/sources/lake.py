@@ -68,13 +68,14 @@ def bronze(
     """Landing to Bronze: Parquet plus lineage; nothing corrected, nothing dropped.
 
     Each landing file owns one Bronze folder named after it, which a rerun replaces. All
-    files are read and written by one job.
+    files are read and written by one job without a shuffle: a task writes to the folders
+    of the files it reads.
     """
     landing = lake.path("landing", dataset)
     raw = with_lineage(read_landing(spark, landing, fmt, schema), lake.path("landing"), run_ts)
     # Folder names must not depend on characters a file system would escape.
     origin = F.regexp_replace("_source_file", "[^A-Za-z0-9_.-]", "_")
-    lake.write(raw.withColumn("_origin", origin), "bronze", dataset, ["_origin"])
+    formats.write_partitioned(raw.withColumn("_origin", origin), lake.path("bronze", dataset), ["_origin"], gather=False)
     return read_bronze(lake, dataset)
 
 

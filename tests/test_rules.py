@@ -195,3 +195,11 @@ def test_failed_checks_are_reported(spark):
     assert not validate.bronze_preserves_landing(fact, dim).first().ok
     with pytest.raises(validate.FailedChecks, match="grao_fato_vendas"):
         validate.require(validate.fact_grain(fact))
+
+
+def test_items_without_parents_are_reported(spark, rows):
+    from quartzo.plans import gold
+
+    items = spark.createDataFrame([(1, 10, 5), (2, 11, 5), (3, 10, 6)], "item_id int, order_id int, product_id int")
+    orders, products = spark.createDataFrame([(10,)], "order_id int"), spark.createDataFrame([(5,)], "product_id int")
+    assert rows(gold.orphan_items(items, orders, products)) == [(2, "pedido"), (3, "produto")]
