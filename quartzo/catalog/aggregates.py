@@ -158,8 +158,8 @@ def having_duplicates(shop):
 
 @query(
     "scalar_subquery_counts",
-    """SELECT (SELECT count(*) FROM raw_events) AS bronze, (SELECT count(*) FROM chk_events WHERE motivos = '') AS silver,
-       (SELECT count(*) FROM chk_events WHERE motivos <> '') AS quarentena""",
+    """SELECT (SELECT count(*) FROM raw_events) AS bronze, count(*) FILTER (WHERE motivos = '') AS silver,
+       count(*) FILTER (WHERE motivos <> '') AS quarentena FROM chk_events""",
 )
 def scalar_subquery_counts(shop):
     from quartzo.operators.quality import rejected

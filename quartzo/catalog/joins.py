@@ -135,7 +135,7 @@ def sale_with_items(shop):
 @query(
     "domain_map_join",
     """SELECT product_id, r.category AS categoria_recebida, d.categoria AS categoria_padronizada, _source_file
-       FROM raw_catalog r LEFT JOIN domain d ON lower(d.categoria) = lower(trim(replace(r.category, '0', 'o')))""",
+       FROM raw_catalog r LEFT JOIN domain d ON d.forma = trim(lower(translate(r.category, '0', 'o')))""",
 )
 def domain_map_join(shop):
     received = shop.catalog().select("product_id", F.col("category").alias("categoria_recebida"), "_source_file")
