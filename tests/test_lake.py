@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from quartzo import cli
 from quartzo.operators.quality import BlockedRun
 from quartzo.plans import lineage, validate, warehouse
 from quartzo.plans.medallion import SOURCES, Medallion
@@ -82,6 +83,15 @@ def test_whole_run_twice(spark, tmp_path):
     shown = {(r.objeto, r.tipo) for r in warehouse.objects(spark, "gold_test").collect()}
     assert ("fato_vendas", "TABLE") in shown and ("mart_funil_origem", "VIEW") in shown
     assert warehouse.query(spark, "gold_test", "funil-origem").count() == 5
+    for command in (
+        ["check"],
+        ["inspect", "--layer", "quarantine", "--dataset", "events", "--limit", "2"],
+        ["quality-report"],
+        ["query", "--name", "entregas-transportadora"],
+        ["lineage", "--item-id", str(item)],
+        ["publish", "--target", base],
+    ):
+        assert cli.main(["--base", base, *command]) == 0
     warehouse.drop(spark, "gold_test")
 
 
