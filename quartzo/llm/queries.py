@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quartzo.llm.common import table
+from quartzo.llm.language import fit_languages, identify
 from quartzo.llm.simhash import simhash_components
+from quartzo.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +19,30 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def fold(doc_id: str = "doc_id") -> Column:
+    """0 to 4 by the id's text; the rows of fold 0 are held out. A null id is in no fold."""
+    return F.crc32(F.col(doc_id).cast("string")) % 5
+
+
+def held_out() -> Column:
+    return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(fold() != 0))
+    scored = score_toxicity(docs, model, spans=False)
+    return scored.select("doc_id", held_out(), F.col("toxic_score").alias("score"), F.col("toxic_pred").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_languages(docs.where(fold() != 0))
+    return identify(docs.drop("lang"), model).select("doc_id", held_out(), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_simhash_near_dedup,)}
+    return {q.__name__: q for q in (op3_simhash_near_dedup, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
