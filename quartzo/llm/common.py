@@ -7,7 +7,8 @@ import string
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quartzo.session import shared_dir
@@ -61,6 +62,45 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def identified(df: DataFrame, name: str) -> DataFrame:
+    """Add an id of each row that stays the same however often the frame is read.
+
+    Rows of files are known by file and place; anything else is stored once and numbered.
+    """
+    if "_metadata" not in df.columns:
+        with contextlib.suppress(AnalysisException):  # not a plain read of files
+            return df.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).alias(name))
+    return stored(df.select("*", F.struct(F.lit(0).cast("long").alias("f"), F.monotonically_increasing_id().alias("i")).alias(name)))
+
+
+def running(df: DataFrame, group: str, order: list[str], value: Column, name: str, pieces: int = 4096) -> DataFrame:
+    """Sum of ``value`` over the rows before each row of its group, in order of a hash column and then the others.
+
+    ``order[0]`` must be an evenly spread hash. It cuts every group into pieces; sums of pieces are added up first, so no
+    task sees more than a piece of the largest group. ``df`` is read twice.
+    """
+    piece, before = unused(df.withColumn(name, F.lit(0)), "piece", "ahead")
+    rows = df.withColumn(piece, F.shiftright(F.col(order[0]), 64 - pieces.bit_length() + 1))
+    sums = rows.groupBy(group, piece).agg(F.sum(value).alias("total"))
+    ahead = Window.partitionBy(group).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col(group).alias("g"), F.col(piece).alias("p"), F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias(before))
+    inside = Window.partitionBy(group, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    rows = rows.join(sums, F.col(group).eqNullSafe(F.col("g")) & (F.col(piece) == F.col("p")))
+    return rows.withColumn(name, F.col(name) + F.col(before)).drop("g", "p", piece, before)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Number the rows from 0 in a total order: range-partitioned, numbered inside, moved by the counts of the ranges before."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    counts = rows.groupBy("_part").count()  # a row for each of the parts
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return rows.withColumn(name, inside - 1).join(F.broadcast(counts), "_part").withColumn(name, F.col(name) + F.col("_ahead")).drop("_part", "_ahead")
+
+
 class Work:
     """Parquet tables of one run in the shared folder, columns prunable and compressed."""
 

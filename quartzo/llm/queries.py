@@ -7,14 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartzo.llm.common import table
+from quartzo.llm.common import blank_words, table
+from quartzo.llm.contamination import decontaminate
 from quartzo.llm.language import fit_languages, identify
+from quartzo.llm.mixing import mix
+from quartzo.llm.sharding import shard
 from quartzo.llm.simhash import simhash_components
 from quartzo.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def byte_size(text: str = "text") -> Column:
+    return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
+
+
+def n_blank_words(text: str = "text") -> Column:
+    return F.size(blank_words(F.col(text))).cast("long")
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", byte_size().alias("size"), F.crc32("text").alias("text_crc32"), F.xxhash64("text").alias("text_key"))
+    rows = shard(docs, 8, F.col("size"), F.col("text_key"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -28,6 +45,43 @@ def held_out() -> Column:
     return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
+
+
+OP6_SQL = r"""
+WITH split AS (
+  SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS r, text FROM documents
+  UNION ALL SELECT 'i', item_id, row_number() OVER (), text FROM benchmark
+), word AS (
+  SELECT kind, id, r, [x FOR x IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws
+  FROM split
+), sized AS (SELECT *, len(ws) AS n FROM word),
+probe AS (SELECT DISTINCT least(13, n) AS w FROM sized WHERE kind = 'i' AND n > 0),
+item AS (
+  SELECT id, least(13, n) AS w, unnest([array_to_string(ws[i:i + least(13, n) - 1], ' ') FOR i IN range(1, n - least(13, n) + 2)]) AS phrase
+  FROM sized WHERE kind = 'i' AND n > 0
+), spot AS (SELECT r, ws, w, unnest(range(1, n - w + 2)) AS i FROM sized, probe WHERE kind = 'd' AND n >= w),
+hit AS (SELECT DISTINCT r, i, a.w, id FROM (SELECT r, w, i, array_to_string(ws[i:i + w - 1], ' ') AS phrase FROM spot) a JOIN item USING (w, phrase)),
+place AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + w)) AS p FROM hit) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(id AS VARCHAR) AS id FROM hit WHERE id IS NOT NULL) GROUP BY r)
+SELECT d.id AS doc_id, CAST(d.n AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= d.n AS contaminated
+FROM sized d LEFT JOIN place USING (r) LEFT JOIN found USING (r) WHERE d.kind = 'd'
+"""
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mix(docs, "source", n_blank_words(), F.xxhash64("doc_id", "text"), undrawn=True)
+    rows = mixed.groupBy("mix_row", "doc_id", "mix_size", "source_size", "target").agg(F.count("copy").alias("times"))
+    return rows.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("times") * F.col("mix_size")).alias("taken"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(fold() != 0))
@@ -42,8 +96,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_simhash_near_dedup, op9_toxicity, op10_language_id)}
+    return {q.__name__: q for q in (op1_sharding, op3_simhash_near_dedup, op6_benchmark_decontamination, op7_mixing, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_benchmark_decontamination": OP6_SQL}
