@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartzo.llm.chat import branches, format_branches, reply_chains, turns, under_mask
 from quartzo.llm.common import blank_words, table
 from quartzo.llm.contamination import decontaminate
 from quartzo.llm.language import fit_languages, identify
+from quartzo.llm.licenses import APART, BASE, SEEN, WORDINGS, scan
+from quartzo.llm.lines import PAGES, RATIO, drop_boilerplate
 from quartzo.llm.mixing import mix
+from quartzo.llm.quality import judge
 from quartzo.llm.sharding import shard
 from quartzo.llm.simhash import simhash_components
 from quartzo.llm.toxicity import fit_toxicity, score_toxicity
@@ -32,6 +36,33 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = drop_boilerplate(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "host", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP2_SQL = rf"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, page_id,
+    nullif(regexp_replace(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^.*@', ''), ':[0-9]*$', ''), '') AS host,
+    string_split(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', chr(10), 'g'),
+      '<[^>]*>|[\t\r]+', chr(10), 'g'), chr(10)) AS parts
+  FROM pages
+), page AS (SELECT r, page_id, host, [trim(x, ' ') FOR x IN parts IF trim(x, ' ') <> ''] AS ls FROM raw),
+total AS (SELECT host, count(*) AS n FROM page GROUP BY host),
+line AS (SELECT r, host, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM page),
+bad AS (
+  SELECT c.host, l FROM (SELECT host, l, count(DISTINCT r) AS n FROM line GROUP BY host, l) c JOIN total t ON c.host IS NOT DISTINCT FROM t.host
+  WHERE c.n >= {PAGES} AND c.n > {RATIO} * t.n
+), kept AS (
+  SELECT r, string_agg(l, chr(10) ORDER BY i) AS t, count(*) AS n FROM line WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.host IS NOT DISTINCT FROM line.host AND b.l = line.l)
+  GROUP BY r
+)
+SELECT page_id, host, len(ls)::BIGINT AS n_lines, (len(ls) - coalesce(n, 0))::BIGINT AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM page LEFT JOIN kept USING (r)
+"""
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -45,6 +76,41 @@ def held_out() -> Column:
     return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+_phrases = ", ".join(f"({t}, '{p}', '{label}', {t < len(BASE)})" for t, (p, label) in enumerate(BASE + WORDINGS))
+OP4_SQL = rf"""
+WITH word AS (
+  SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws
+  FROM documents
+), pair AS (SELECT r, unnest(range(len(ws) - 1)) AS p, unnest([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS g FROM word WHERE len(ws) > 1),
+phrase AS (SELECT t, string_split(p, ' ') AS ws, label, base FROM (VALUES {_phrases}) v(t, p, label, base)),
+tpair AS (SELECT t, label, base, len(ws) - 1 AS pairs, unnest(range(len(ws) - 1)) AS q, unnest([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS g FROM phrase),
+vote AS (SELECT r, t, label, base, pairs, p - q AS d, list(DISTINCT q) AS seen, min(p) AS a FROM pair JOIN tpair USING (g) GROUP BY ALL),
+fresh AS (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY r, t ORDER BY d) <= CASE WHEN base THEN 0 ELSE {APART} END THEN 0 ELSE 1 END AS f FROM vote),
+grown AS (SELECT *, sum(f) OVER (PARTITION BY r, t ORDER BY d) AS s FROM fresh),
+span AS (SELECT r, t, label, base, len(list_distinct(flatten(list(seen)))) / pairs AS share, min(a) AS a FROM grown GROUP BY r, t, label, base, pairs, s),
+good AS (SELECT * FROM span WHERE share >= CASE WHEN base THEN 1 ELSE {SEEN} END),
+found AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS first_word, max(a) FILTER (base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
+  FROM good GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM word LEFT JOIN found USING (r)
+"""
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -82,6 +148,36 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("times") * F.col("mix_size")).alias("taken"))
 
 
+#: The conversation that the contract adds.
+ESCAPES = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", ESCAPES), (-7, 1, "assistant", ESCAPES)], given.schema)
+    messages = reply_chains(given.union(extra))
+    out = format_branches(branches(messages), messages)
+    out = out.withColumns({"back": turns(F.col("formatted")), "learned": under_mask(F.col("formatted"), F.col("mask"))})
+    said = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        F.col("tree").alias("conv_id"), F.size("back").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP8_SQL = r"""
+WITH given AS (
+  SELECT conv_id::BIGINT AS conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), said AS (SELECT conv_id, turn, role AS ro, text AS te, coalesce(role, '') AS role, coalesce(text, '') AS text FROM given)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, ro NULLS FIRST, te NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, ro NULLS FIRST, te NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(14 + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\#<:]', '', 'g')))::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(fold() != 0))
@@ -96,8 +192,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_sharding, op3_simhash_near_dedup, op6_benchmark_decontamination, op7_mixing, op9_toxicity, op10_language_id)}
+    return {q.__name__: q for q in (
+        op1_sharding, op2_line_dedup, op3_simhash_near_dedup, op4_license_scans, op5_quality_rules, op6_benchmark_decontamination, op7_mixing,
+        op8_chat_formatting, op9_toxicity, op10_language_id,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_benchmark_decontamination": OP6_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_license_scans": OP4_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL}
