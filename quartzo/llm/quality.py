@@ -21,8 +21,8 @@ from quartzo.llm.common import blank_words, identified, stored, unused
 SYMBOLS = "#*$%&|<>"
 #: Share of texts that the estimate rests on; concentration steps; texts a group must have to be judged.
 CORE, STEPS, LEAST = 0.75, 4, 40
-#: Squared distance of an outlier: far out in the tail of the chi-square law with 5 degrees (one in ten million).
-CUTOFF = 40.0
+#: Squared distance of an outlier: far beyond the chi-square tail with 5 degrees, as the tails of texts are heavier.
+CUTOFF = 90.0
 #: Standard deviation of each statistic at least, so a statistic that hardly varies doesn't condemn small changes.
 FLOORS = {"length": 0.5, "word": 0.1, "symbols": 0.3, "lines": 0.05, "repeats": 0.08}
 #: Bins for each unit of a statistic and for each doubling of a squared distance.

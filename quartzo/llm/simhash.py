@@ -174,7 +174,8 @@ def near_fingerprints(fps: DataFrame, max_bits: int = 4, lead_bits: int = 10, pe
 
 
 def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 4, max_bits: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: its id, the columns in ``keep``, fingerprint (16 hex digits), fp (as long) and component_id.
+    """One row per input row: doc_id, the columns in ``keep``, fingerprint (16 hex digits), group (one of the group's
+    fingerprints as a long) and component_id.
 
     Texts are lower-cased A-Z and cut at ASCII blanks into k-word shingles. Null, empty and blank texts have fingerprint 0
     and are linked like any other; fewer than k words make one shingle. component_id is the smallest id that chains of
@@ -186,6 +187,6 @@ def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     roots = components(near_fingerprints(fps, max_bits)).withColumnRenamed("node", "fp")
     placed = fps.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    ids = placed.join(lows, "root").select("fp", "component_id")
+    ids = placed.join(lows, "root").select("fp", F.col("root").alias("group"), "component_id")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return rows.join(ids, "fp").select("doc_id", *keep, hexed, "fp", "component_id")
+    return rows.join(ids, "fp").select("doc_id", *keep, hexed, "group", "component_id")
