@@ -36,7 +36,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
         ).first()
         if count == stopped or not rest:
             break
-        level, stopped = (total - full) / rest, count if level else -1
+        level, stopped = (total - full) / rest, count
     return ranked.withColumn("target", F.least((most * F.col("source_size")).cast("double"), F.col("weight") * F.lit(float(level))))
 
 
