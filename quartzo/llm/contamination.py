@@ -39,29 +39,39 @@ def _anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
     return each.select("c.term", "item", "c.at", "width", "anchors")
 
 
-def _covered(words: Column, item_words: Column, width: Column, diagonal: Column) -> Column:
-    """Places in the document that exact windows along a diagonal cover."""
-    same = F.transform(item_words, lambda w, i: F.coalesce(F.get(words, diagonal + i) == w, F.lit(False)))
-    starts = F.sequence(F.lit(0), F.size(item_words) - width)
+def _same(words: Column, item_words: Column, diagonal: Column) -> Column:
+    """Whether the document has the item's word, along a diagonal. (``words`` is named twice so that it isn't split per word.)"""
+    inside = lambda i: (diagonal + i >= 0) & (diagonal + i < F.size(words))
+    return F.transform(item_words, lambda w, i: F.when(inside(i), F.get(words, diagonal + i) == w).otherwise(False))
+
+
+def _covered(same: Column, width: Column, diagonal: Column) -> Column:
+    """Places in the document that exact windows cover."""
+    starts = F.sequence(F.lit(0), F.size(same) - width)
     full = F.filter(starts, lambda s: F.forall(F.slice(same, s + 1, width), lambda x: x))
     return F.array_distinct(F.flatten(F.transform(full, lambda s: F.sequence(diagonal + s, diagonal + s + width - 1))))
 
 
 def _matches(w: Work, rows: DataFrame, benchmark: DataFrame, text: str, bench_text: str, item_id: str) -> DataFrame:
     """One row per document row: row, n_words, n_hit, items (sorted as strings), near_items."""
-    tokens = w.write(rows.select("row", alnum_words(F.col(text)).alias("words")), "tokens")
+    # words are stored and sent joined by blanks, which no word has: half the bytes of an array
+    split = rows.select("row", alnum_words(F.col(text)).alias("words"))
+    tokens = w.write(split.select("row", F.size("words").cast("long").alias("n_words"), F.array_join("words", " ").alias("said")), "tokens")
+    words = F.split("said", " ")
     items = w.write(_items(benchmark, bench_text, item_id), "items")
     used = w.write(items.select(F.explode("item_words").alias("word")).distinct(), "terms")
-    postings = tokens.select("row", F.posexplode("words").alias("at", "word")).join(used, "word", "left_semi")
+    postings = tokens.where("n_words > 0").select("row", F.posexplode(words).alias("at", "word")).join(used, "word", "left_semi")
     postings = w.write(postings.select(F.xxhash64("word").alias("term"), "row", "at"), "postings")
     anchors = w.write(_anchors(items, postings.groupBy("term").count()), "anchors")
     moved = postings.withColumnRenamed("at", "doc_at").join(anchors, "term")
     votes = moved.groupBy("row", "item", "width", "anchors", (F.col("doc_at") - F.col("at")).alias("diagonal")).agg(F.count("*").alias("votes"))
     votes = w.write(votes, "votes")
     lined = votes.where(F.col("votes") >= F.least(F.lit(2), F.col("width"))).join(items.drop("width"), "item")
-    lined = lined.join(tokens, "row")
-    hits = lined.select("row", "item_id", _covered(F.col("words"), F.col("item_words"), F.col("width"), F.col("diagonal")).alias("places"))
-    hits = w.write(hits.where(F.size("places") > 0), "hits")
+    lined = lined.join(tokens, "row").withColumn("words", words)
+    lined = lined.select("row", "item_id", "width", "diagonal", _same(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("same"))
+    lined = w.write(lined, "lined")
+    hits = w.write(lined.select("row", "item_id", _covered(F.col("same"), F.col("width"), F.col("diagonal")).alias("places")), "hits")
+    hits = hits.where(F.size("places") > 0)
     n_hit = hits.select("row", F.explode("places").alias("place")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     found = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     band = F.explode(F.array(F.floor(F.col("diagonal") / SLOP) * 2, F.floor(F.col("diagonal") / SLOP + 0.5) * 2 - 1)).alias("band")
@@ -69,7 +79,7 @@ def _matches(w: Work, rows: DataFrame, benchmark: DataFrame, text: str, bench_te
     near = near.where((F.col("votes") >= 2) & (F.col("votes") >= NEAR * F.col("anchors"))).join(items.select("item", "item_id"), "item")
     near = near.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("near_items"))
     empty = F.array().cast("array<string>")
-    out = tokens.select("row", F.size("words").cast("long").alias("n_words")).join(n_hit, "row", "left").join(found, "row", "left").join(near, "row", "left")
+    out = tokens.select("row", "n_words").join(n_hit, "row", "left").join(found, "row", "left").join(near, "row", "left")
     return out.select("row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", empty).alias("items"), F.coalesce("near_items", empty).alias("near_items"))
 
 

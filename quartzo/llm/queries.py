@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartzo.llm.chat import branches, format_branches, reply_chains, turns, under_mask
-from quartzo.llm.common import blank_words, table
+from quartzo.llm.common import blank_words, stored, table
 from quartzo.llm.contamination import decontaminate
 from quartzo.llm.language import fit_languages, identify
 from quartzo.llm.licenses import APART, BASE, SEEN, WORDINGS, scan
@@ -156,7 +156,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", ESCAPES), (-7, 1, "assistant", ESCAPES)], given.schema)
     messages = reply_chains(given.union(extra))
-    out = format_branches(branches(messages), messages)
+    out = stored(format_branches(branches(messages), messages))  # what follows is read back from it
     out = out.withColumns({"back": turns(F.col("formatted")), "learned": under_mask(F.col("formatted"), F.col("mask"))})
     said = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
