@@ -1,0 +1,137 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quartzo.llm import quality
+from quartzo.llm.licenses import BASE, scan
+from quartzo.llm.lines import drop_boilerplate, host_of, lines_of
+from quartzo.llm.quality import judge
+
+
+def words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def test_license_places(spark):
+    texts = [(1, None), (2, ""), (3, "CC BY"), (4, "cc-by. cc by cc\nby All Rights reserved"), (5, "the GNU General Public\tLicense, version 3 general public licenses"),
+             (6, "cc"), (7, "cc byé cc by"), (7, "cc byé cc by"), (None, "all rights all rights reserved"), (8, "x " * 40_000 + "general public license"),
+             (9, "Licensed under the Apache License, Version 2.0."), (10, "licensed under the very Apache License Version 2.0"), (11, "under the the license")]
+    df = spark.createDataFrame([(i, t, "y", 2) for i, t in texts], "doc_id long, text string, labels string, row int")
+    out = scan(df)
+    assert out.columns == ["doc_id", "text", "row", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
+    got = sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in out.collect()), key=str)
+    want = []
+    for i, t in texts:
+        ws, places, labels = words(t), [], set()
+        for phrase, label in BASE:
+            p = phrase.split()
+            for a in range(len(ws)):
+                if ws[a : a + len(p)] == p:
+                    places.append(a)
+                    labels.add(label)
+        want.append((i, len(ws), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))))
+    assert got == sorted(want, key=str)
+    by = {r.doc_id: r for r in out.collect()}
+    assert by[9].labels == "apache" and by[9].score == 1 and (by[9].spans[0].start, by[9].spans[0].end) == (0, 8)
+    assert by[10].labels == "apache" and 0.75 <= by[10].score < 1
+    assert by[11].labels == "" and by[11].score == 0 and by[11].spans == [] and by[4].labels == "cc-by,reserved"
+    assert scan(df.limit(0)).count() == 0
+
+
+def plain_statistics(text):
+    ws = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    windows = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
+    hit = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit)
+
+
+TEXTS = [None, "", " \n\t", "one", "a b c", "a b c a b c", "a b c x a b c d", "a a a a a", "É é\né é\né é", "x\n\n x\nx\nx\r\nx", "#*$%&|<> ## a", "a\x1cb\x85c d",
+         "a b a b a b q", " ".join(f"w{i}" for i in range(200)), "same line here\n" * 30, "p q r " + " ".join(f"v{i}" for i in range(60)) + " p q r"]
+
+
+@pytest.mark.parametrize("bits", [24, 60, 2])
+def test_statistics(spark, bits, monkeypatch):
+    """With 60 or 2 bits for places, hashes of different windows collide or places don't fit; results stay exact."""
+    monkeypatch.setattr(quality, "POS_BITS", bits)
+    rng = random.Random(1)
+    texts = TEXTS + [" ".join(rng.choices("abcd", k=rng.randrange(3, 60))) for _ in range(25)] + [" ".join(rng.choices("abcdefgh", k=900))]
+    df = spark.createDataFrame([(i, t, "l", "s", True) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, kept boolean")
+    got = {r.doc_id: r for r in judge(df).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        r, want = got[i], plain_statistics(t)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, t
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+
+
+def test_outliers_of_each_group(spark):
+    rng = random.Random(3)
+    rows = []
+    for g in range(3):
+        for i in range(150):
+            rows.append((len(rows), " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(rng.randrange(60, 200))), "xy"[g % 2], f"s{g}" if g else None))
+    noisy = [(10_000 + i, " ".join(rng.choice("#$%&") * 6 + "abc"[i % 3] + str(j) for j in range(80)), "x", None) for i in range(30)]
+    small = [(20_000 + i, " ".join(f"q{j}" for j in range(60 + i)), "x", "few") for i in range(5)]
+    df = spark.createDataFrame(rows + noisy + small, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in judge(df).collect()}
+    assert all(got[i].kept for i, *_ in rows) and not any(got[i].kept for i, *_ in noisy)
+    assert all(got[i].kept and got[i].distance is None for i, *_ in small)
+    again = {r.doc_id: r.kept for r in judge(df.repartition(5)).collect()}
+    assert again == {i: r.kept for i, r in got.items()}
+
+
+def test_distance_is_mahalanobis(spark):
+    rng = np.random.default_rng(0)
+    dims = list(quality.FLOORS)
+    x = rng.multivariate_normal(np.zeros(5), np.diag([1, 2, 1, 1, 3]) + 0.5, 400)
+    rows = spark.createDataFrame([(i, 1, *map(float, v)) for i, v in enumerate(x)], "row int, g int, " + ", ".join(f"{d} double" for d in dims))
+    fit = quality._estimate(rows, dims)
+    got = {r.row: r.d2 for r in rows.join(fit, "g").select("row", quality._squared(dims).alias("d2")).collect()}
+    centred = x - x.mean(0)
+    want = np.einsum("ij,jk,ik->i", centred, np.linalg.inv(np.cov(x.T, bias=True)), centred)
+    assert np.allclose([got[i] for i in range(400)], want)
+
+
+def test_no_documents(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    assert judge(df).count() == 0
+
+
+def test_hosts_and_lines(spark):
+    urls = [("http://A.b.c/x?y", "a.b.c"), ("https://u:p@h.d:80#z", "h.d"), ("nonsense", None), (None, None), ("ftp://", None), ("x+y://h", "h")]
+    df = spark.createDataFrame(urls, "u string, h string")
+    assert all(r.h == r.got for r in df.withColumn("got", host_of(F.col("u"))).collect())
+    html = '<html><style>p{}</style><SCRIPT>a="</p>";</SCRIPT><p>one <b>two</b>\n three<!-- no\n --></p><br> </html>'
+    (r,) = spark.createDataFrame([(html,)], "h string").select(lines_of(F.col("h")).alias("x")).collect()
+    assert r.x == ["one", "two", "three"]
+
+
+def test_boilerplate_of_a_site(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        host = ["a.com", "b.com", None][i % 3]
+        own = [f"own {i} {j}" for j in range(rng.randrange(4))]
+        shared = ["menu", "menu"] * (i % 2) + ["footer"] * (i % 7 != 0) + ["rare"] * (i < 6)
+        rows.append((i, f"http://{host}/{i}" if host else "??", "".join(f"<p>{x}</p>" for x in own + shared)))
+    rows += [(100, "http://one.com/", "<p>alone</p>"), (101, "http://n.com/", None), (101, "http://n.com/", None), (102, "http://n.com/", "<p>y</p>")]
+    rows += [(200 + i, "http://same.com/", "<p>x</p><p>x</p>") for i in range(4)]
+    df = spark.createDataFrame([(*r, 1, "z") for r in rows], "page_id long, url string, html string, host int, lines string")
+    out = drop_boilerplate(df)
+    assert out.columns == ["page_id", "url", "html", "lines", "host", "n_lines", "n_dropped", "kept_text"]
+    pages = [(i, u.split("/")[2] if "//" in u else None, re.findall("<p>(.*?)</p>", h or "")) for i, u, h in rows]
+    hosts = {}
+    for _, host, ls in pages:
+        hosts.setdefault(host, []).append(set(ls))
+    want = []
+    for i, host, ls in pages:
+        seen = lambda x: sum(x in p for p in hosts[host])
+        kept = [x for x in ls if not (seen(x) >= 3 and seen(x) > 0.2 * len(hosts[host]))]
+        want.append((i, host, len(ls), len(ls) - len(kept), "\n".join(kept)))
+    assert sorted(((r.page_id, r.host, r.n_lines, r.n_dropped, r.kept_text) for r in out.collect()), key=str) == sorted(want, key=str)
+    assert drop_boilerplate(df.limit(0)).count() == 0
