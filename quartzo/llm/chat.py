@@ -37,26 +37,28 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     """Paths from root to leaf: branch (its leaf), msg, place from 0, for the ``best`` branches of every tree.
 
     ``messages``: tree, msg (a unique id), parent (null or unknown: a root) and score. A branch's score is the sum of its
-    messages'; ties go to the smaller leaf. Messages that reply to each other in a circle have no root and make no branch.
+    messages' (null: 0); ties go to the smaller leaf. Messages that reply to each other in a circle have no root and make no branch.
     """
     known = messages.select(F.col("msg").alias("up"))
-    nodes = messages.join(known, messages["parent"] == known["up"], "left").select("tree", "msg", "up", F.col("score").cast("double").alias("score"))
-    jumps = stored(nodes)  # jumps[k]: 2^k replies up, and the score on the way
-    levels = []
-    while not jumps.where("up is not null").isEmpty():
-        levels.append(jumps)
-        if len(levels) > 40:
+    nodes = messages.join(known, messages["parent"] == known["up"], "left").select("tree", "msg", "up", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    now = stored(nodes)
+    most = now.count().bit_length() + 1  # no way is longer than there are messages
+    settled, live, levels = now.where("up is null"), now.where("up is not null"), []  # up: 2^k replies up; score: on the way
+    while not live.isEmpty():
+        levels.append(live)
+        if len(levels) > most:
             raise ValueError("messages reply in a circle")
-        far = jumps.select(F.col("msg").alias("m"), F.col("up").alias("far"), F.col("score").alias("more"))
-        jumps = jumps.join(far, F.col("up") == F.col("m"), "left")
-        jumps = stored(jumps.select("tree", "msg", F.col("far").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")))
-    # here score is that of the whole way to the root
+        far = settled.union(live).select(F.col("msg").alias("m"), F.col("up").alias("far"), F.col("score").alias("more"))
+        now = live.join(far, F.col("up") == F.col("m"))
+        now = stored(now.select("tree", "msg", F.col("far").alias("up"), (F.col("score") + F.col("more")).alias("score")))
+        settled, live = settled.union(now.where("up is null")), now.where("up is not null")
+    # here settled has every message with the score of its whole way to the root
     replied = nodes.where("up is not null").select(F.col("up").alias("msg")).distinct()
-    leaves = jumps.join(replied, "msg", "left_anti")
+    leaves = settled.join(replied, "msg", "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "msg"))
     on = leaves.withColumn("rank", rank).where(F.col("rank") <= best).select(F.col("msg").alias("branch"), "tree", "rank", "msg", F.lit(0).alias("above"))
     for k in range(len(levels) - 1, -1, -1):  # every distance from the leaf is a sum of jumps
-        up = levels[k].where("up is not null").select(F.col("msg").alias("m"), F.col("up").alias("next"))
+        up = levels[k].select(F.col("msg").alias("m"), F.col("up").alias("next"))
         on = stored(on.union(on.join(up, F.col("msg") == F.col("m")).select("branch", "tree", "rank", F.col("next"), F.col("above") + F.lit(1 << k))))
     top = on.groupBy("branch").agg(F.max("above").alias("top"))
     return on.join(top, "branch").select("tree", "rank", "branch", "msg", (F.col("top") - F.col("above")).alias("place"))
