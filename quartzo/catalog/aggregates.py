@@ -126,7 +126,7 @@ def distinct_order_count(shop):
 
 
 PRIORITY_SQL = """SELECT o_orderpriority AS prioridade, count(*) AS pedidos,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1"""
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total FROM orders GROUP BY 1"""
 
 
 @query(
@@ -136,8 +136,7 @@ PRIORITY_SQL = """SELECT o_orderpriority AS prioridade, count(*) AS pedidos,
 def sql_df_equivalence(shop):
     orders = shop.table("orders")
     by_api = (
-        orders.filter("o_orderstatus <> 'P'")
-        .groupBy(F.col("o_orderpriority").alias("prioridade"))
+        orders.groupBy(F.col("o_orderpriority").alias("prioridade"))
         .agg(F.count(F.lit(1)).alias("pedidos"), money_sum("o_totalprice").alias("total"))
     )
     by_sql = shop.spark.sql(PRIORITY_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
@@ -158,8 +157,9 @@ def having_duplicates(shop):
 
 @query(
     "scalar_subquery_counts",
-    """SELECT (SELECT count(*) FROM raw_events) AS bronze, count(*) FILTER (WHERE motivos = '') AS silver,
-       count(*) FILTER (WHERE motivos <> '') AS quarentena FROM chk_events""",
+    """SELECT CAST(sum(b) AS BIGINT) AS bronze, CAST(sum(s) AS BIGINT) AS silver, CAST(sum(q) AS BIGINT) AS quarentena
+       FROM (SELECT 1 AS b, 0 AS s, 0 AS q FROM raw_events UNION ALL SELECT 0, 1, 0 FROM silver_events
+             UNION ALL SELECT 0, 0, 1 FROM (SELECT DISTINCT event_id, ocorrencia FROM violations))""",
 )
 def scalar_subquery_counts(shop):
     from quartzo.operators.quality import rejected

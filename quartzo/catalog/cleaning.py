@@ -168,7 +168,6 @@ def explode_nested(shop):
         ["item_id", "line_cents", "quantity"],
         ["item_id", "quantity"],
         "itens",
-        segment=[F.col("item_id"), F.expr("line_cents div 100000")],
     )
     rows = docs.select("order_id", "customer_id", F.explode_outer("itens").alias("i"))
     return rows.select("order_id", "customer_id", "i.item_id", "i.quantity")

@@ -105,10 +105,9 @@ def book_author(shop):
 
 @query(
     "sale_with_items",
-    """WITH p AS (SELECT *, (row_number() OVER (PARTITION BY order_id ORDER BY item_id, line_cents, quantity) - 1) // 1000 AS pagina FROM raw_order_items)
-       SELECT o.order_id, o.customer_id, coalesce(i.pagina, 0) AS pagina, count(i.item_id) AS itens, CAST(coalesce(sum(i.line_cents), 0) AS BIGINT) AS centavos,
+    """SELECT o.order_id, o.customer_id, count(i.item_id) AS itens, CAST(coalesce(sum(i.line_cents), 0) AS BIGINT) AS centavos,
        string_agg(CAST(i.item_id AS VARCHAR), '|' ORDER BY i.item_id, i.line_cents, i.quantity) AS lista
-       FROM stg_orders o LEFT JOIN p i ON i.order_id = o.order_id GROUP BY ALL""",
+       FROM stg_orders o LEFT JOIN raw_order_items i ON i.order_id = o.order_id GROUP BY ALL""",
 )
 def sale_with_items(shop):
     child = shop.order_items().select("order_id", "item_id", "quantity", "line_cents")
@@ -119,13 +118,11 @@ def sale_with_items(shop):
         ["item_id", "line_cents", "quantity"],
         ["item_id", "quantity", "line_cents"],
         "itens",
-        segment=[F.col("item_id"), F.expr("line_cents div 100000")],
     )
     ids = F.array_join(F.transform("itens", lambda x: x["item_id"].cast("string")), "|")
     return sales.select(
         "order_id",
         "customer_id",
-        "pagina",
         F.coalesce(F.size("itens").cast("bigint"), F.lit(0)).alias("itens"),
         F.coalesce(F.aggregate("itens", F.lit(0).cast("bigint"), lambda a, x: a + x["line_cents"]), F.lit(0)).alias("centavos"),
         ids.alias("lista"),
@@ -134,8 +131,8 @@ def sale_with_items(shop):
 
 @query(
     "domain_map_join",
-    """SELECT product_id, r.category AS categoria_recebida, d.categoria AS categoria_padronizada, _source_file
-       FROM raw_catalog r LEFT JOIN domain d ON d.forma = trim(lower(translate(r.category, '0', 'o')))""",
+    "SELECT product_id, r.category AS categoria_recebida, d.categoria AS categoria_padronizada, _source_file "
+    "FROM raw_catalog r LEFT JOIN domain d ON regexp_full_match(r.category, d.grafias)",
 )
 def domain_map_join(shop):
     received = shop.catalog().select("product_id", F.col("category").alias("categoria_recebida"), "_source_file")
@@ -145,11 +142,11 @@ def domain_map_join(shop):
 
 @query(
     "anti_products_without_sales",
-    "SELECT product_id, name FROM raw_products p WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p.product_id AND l_quantity > 45)",
+    "SELECT product_id, name FROM raw_products WHERE product_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL)",
 )
 def anti_products_without_sales(shop):
-    big = shop.table("lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("product_id"))
-    return shop.products().select("product_id", "name").join(big, "product_id", "left_anti")
+    sold = shop.table("lineitem").select(F.col("l_partkey").alias("product_id"))
+    return shop.products().select("product_id", "name").join(sold, "product_id", "left_anti")
 
 
 @query(
@@ -190,7 +187,7 @@ def join_duplication_check(shop):
 def broadcast_join(shop):
     customers = shop.table("customer").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_acctbal"))
     states = shop.table("nation").select("n_nationkey", F.col("n_name").alias("uf"))
-    joined = joins.checked_broadcast_join(customers, states, ["n_nationkey"])
+    joined = joins.size_checked_join(customers, states, ["n_nationkey"])
     return joined.groupBy("uf").agg(F.count(F.lit(1)).alias("clientes"), money_sum("c_acctbal").alias("saldo"))
 
 

@@ -127,12 +127,15 @@ VIEWS: dict[str, str] = {
         SELECT product_id, sku, trim(name) AS name, trim(category) AS category,
                CAST(price_cents / 100.0 AS DECIMAL(12,2)) AS price, supplier_id FROM raw_products""",
     "stg_orders": """
-        SELECT DISTINCT ON (order_id) order_id, customer_id, trim(lower(status)) AS status, trim(lower(channel)) AS channel,
-               CAST(total_cents * 0.01 AS DECIMAL(12,2)) AS total, created_at, updated_at
-        FROM raw_orders r ORDER BY order_id, updated_at DESC, customer_id, r.status, r.channel, total_cents, created_at""",
+        SELECT order_id, m.customer_id, m.status, m.channel, m.total, m.created_at, m.updated_at
+        FROM (SELECT order_id, min({'age': -epoch(updated_at), 'customer_id': customer_id, 's': status, 'c': channel, 'cents': total_cents, 'created_at': created_at,
+                     'status': lower(trim(status)), 'channel': lower(trim(channel)), 'total': CAST(CAST(total_cents AS DECIMAL(18,2)) / 100 AS DECIMAL(12,2)),
+                     'updated_at': updated_at}) AS m
+              FROM raw_orders GROUP BY order_id)""",
     "stg_payments": """
-        SELECT DISTINCT ON (order_id) order_id, trim(lower(status)) AS status, trim(lower(method)) AS method, updated_at
-        FROM raw_payments r ORDER BY order_id, updated_at DESC, r.status, r.method""",
+        SELECT order_id, m.status, m.method, m.updated_at
+        FROM (SELECT order_id, min({'age': -epoch(updated_at), 's': status, 'm': method, 'status': lower(trim(status)), 'method': lower(trim(method)), 'updated_at': updated_at}) AS m
+              FROM raw_payments GROUP BY order_id)""",
     "stg_order_items": """
         SELECT DISTINCT ON (item_id) item_id, order_id, product_id, quantity, CAST(unit_price_cents * 0.01 AS DECIMAL(12,2)) AS unit_price
         FROM raw_order_items ORDER BY item_id, shipped_on DESC, order_id, product_id, quantity, unit_price_cents, seller_id,
@@ -143,20 +146,24 @@ VIEWS: dict[str, str] = {
                event_at AS event_at_raw, row_number() OVER copies AS ocorrencia
         FROM raw_events
         WINDOW copies AS (PARTITION BY event_id ORDER BY _source_file NULLS FIRST, raw_events.event_at NULLS FIRST, session_id NULLS FIRST, customer_id NULLS FIRST, product_id NULLS FIRST, order_id NULLS FIRST, raw_events.event_type NULLS FIRST, raw_events.device NULLS FIRST, raw_events.source NULLS FIRST, injected_issue NULLS FIRST)""",
+    "violations": """
+        SELECT event_id, ocorrencia, 1 AS posto, 'duplicado' AS nome FROM event_base WHERE ocorrencia > 1
+        UNION ALL SELECT event_id, ocorrencia, 2, 'tipo_ausente' FROM event_base WHERE event_type IS NULL
+        UNION ALL SELECT event_id, ocorrencia, 3, 'data_invalida' FROM event_base WHERE event_at IS NULL
+        UNION ALL SELECT event_id, ocorrencia, 4, 'dispositivo_ausente' FROM event_base WHERE device IS NULL
+        UNION ALL SELECT event_id, ocorrencia, 5, 'cliente_inexistente' FROM event_base ANTI JOIN raw_customers USING (customer_id)
+        UNION ALL SELECT event_id, ocorrencia, 6, 'produto_inexistente' FROM event_base ANTI JOIN raw_products USING (product_id) WHERE product_id IS NOT NULL""",
     "chk_events": """
-        SELECT *, coalesce(array_to_string([
-               CASE WHEN ocorrencia <> 1 THEN 'duplicado' END,
-               CASE WHEN coalesce(event_type, '') = '' THEN 'tipo_ausente' END,
-               CASE WHEN event_at IS NULL THEN 'data_invalida' END,
-               CASE WHEN coalesce(device, '') = '' THEN 'dispositivo_ausente' END,
-               CASE WHEN coalesce(customer_id NOT IN (SELECT c_custkey FROM customer), true) THEN 'cliente_inexistente' END,
-               CASE WHEN coalesce(product_id NOT IN (SELECT p_partkey FROM part), false) THEN 'produto_inexistente' END], ', '), '') AS motivos
-        FROM event_base""",
+        SELECT b.*, coalesce(v.nomes, '') AS motivos
+        FROM event_base b LEFT JOIN (SELECT event_id, ocorrencia, string_agg(nome, ', ' ORDER BY posto) AS nomes FROM violations GROUP BY event_id, ocorrencia) v
+             USING (event_id, ocorrencia)""",
     "silver_events": """
-        SELECT event_id, session_id, customer_id, product_id, order_id, event_type, event_at, device, source,
-               CAST(event_at AS DATE) AS event_date
-        FROM chk_events WHERE length(motivos) = 0""",
-    "domain": "SELECT x AS categoria, lower(x) AS forma FROM (SELECT unnest([" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]) AS x)",
+        SELECT event_id, session_id, customer_id, product_id, order_id, event_type, event_at, device, source, CAST(event_at AS DATE) AS event_date
+        FROM event_base ANTI JOIN violations USING (event_id, ocorrencia)""",
+    "domain": """
+        SELECT c AS categoria, '(?i) *' || replace(lower(c), 'o', '[o0]') || ' *' AS grafias FROM (SELECT unnest(["""
+    + ", ".join(f"'{c}'" for c in CATEGORIES)
+    + "]) AS c)",
     "chk_catalog": """
         SELECT k.*, concat_ws(', ',
                CASE WHEN k.weight_kg IS NULL THEN 'peso_ausente' END,
@@ -167,11 +174,12 @@ VIEWS: dict[str, str] = {
                      try_cast(nullif(trim(r.weight_kg), '') AS DECIMAL(8,2)) AS weight_kg,
                      try_cast(r.supplier_id AS BIGINT) AS supplier_id, _source_file,
                      row_number() OVER (PARTITION BY r.product_id ORDER BY _source_file, r.category, r.weight_kg, r.supplier_id) AS ocorrencia
-              FROM raw_catalog r LEFT JOIN domain d ON d.forma = trim(lower(translate(r.category, '0', 'o')))) k
+              FROM raw_catalog r LEFT JOIN domain d ON regexp_full_match(r.category, d.grafias)) k
         LEFT JOIN stg_suppliers s ON s.supplier_id = k.supplier_id""",
     "chk_inventory": """
         SELECT product_id, snapshot_date, try_cast(quantity AS BIGINT) AS quantity,
-               concat_ws(', ', CASE WHEN try_cast(quantity AS BIGINT) < 0 THEN 'estoque_negativo' END) AS motivos
+               concat_ws(', ', CASE WHEN try_cast(quantity AS BIGINT) < 0 THEN 'estoque_negativo' END,
+                             CASE WHEN try_cast(quantity AS BIGINT) IS NULL AND trim(quantity) <> '' THEN 'quantidade_ilegivel' END) AS motivos
         FROM raw_inventory""",
     "chk_shipments": """
         SELECT s.*, concat_ws(', ',
@@ -187,24 +195,26 @@ VIEWS: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY customer_id) AS sk_cliente, customer_id, name AS nome, state AS uf, since AS cliente_desde
         FROM stg_customers""",
     "dim_produto": """
-        SELECT rank() OVER (ORDER BY product_id) AS sk_produto, product_id, sku, trim(name) AS nome,
-               trim(category) AS categoria, CAST(price_cents * 0.01 AS DECIMAL(12,2)) AS preco_atual, peso_kg, fornecedor, uf_fornecedor
-        FROM raw_products
-        LEFT JOIN (SELECT product_id, weight_kg AS peso_kg FROM chk_catalog WHERE motivos = '') USING (product_id)
+        SELECT sk AS sk_produto, product_id, p.sku, p.name AS nome, p.category AS categoria, p.price AS preco_atual, peso_kg, fornecedor, uf_fornecedor
+        FROM (SELECT unnest(ids) AS product_id, CAST(generate_subscripts(ids, 1) AS BIGINT) AS sk FROM (SELECT list(product_id ORDER BY product_id) AS ids FROM stg_products))
+        JOIN stg_products p USING (product_id)
+        LEFT JOIN (SELECT product_id, max(weight_kg) AS peso_kg FROM chk_catalog GROUP BY product_id, motivos HAVING motivos = '') USING (product_id)
         LEFT JOIN (SELECT supplier_id, name AS fornecedor, state AS uf_fornecedor FROM stg_suppliers) USING (supplier_id)""",
     "fato_vendas": """
-        WITH contexto AS (
-            SELECT order_id, year(created_at) * 10000 + month(created_at) * 100 + day(created_at) AS sk_data, sk_cliente, channel AS canal,
-                   stg_orders.status AS status_pedido, stg_payments.status AS status_pagamento, method AS metodo_pagamento
-            FROM stg_orders LEFT JOIN stg_payments USING (order_id) JOIN dim_cliente USING (customer_id))
-        SELECT item_id, order_id, CAST(sk_data AS INTEGER) AS sk_data, sk_cliente, sk_produto, canal, status_pedido, status_pagamento,
-               metodo_pagamento, quantity AS quantidade, unit_price AS preco_unitario, CAST(quantity * unit_price AS DECIMAL(18,2)) AS valor_bruto
-        FROM stg_order_items JOIN contexto USING (order_id) JOIN dim_produto USING (product_id)""",
+        SELECT item_id, order_id, sk_data, sk_cliente, sk_produto, canal, status_pedido, status_pagamento, metodo_pagamento, quantity AS quantidade,
+               unit_price AS preco_unitario, CAST(quantity * unit_price AS DECIMAL(18,2)) AS valor_bruto
+        FROM stg_order_items
+        JOIN (SELECT order_id, max(dia) AS sk_data, max(cliente) AS customer_id, max(canal) AS canal, max(pedido) AS status_pedido, max(pago) AS status_pagamento, max(meio) AS metodo_pagamento
+              FROM (SELECT order_id, CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS dia, customer_id AS cliente, channel AS canal, status AS pedido, NULL AS pago, NULL AS meio FROM stg_orders
+                    UNION ALL SELECT order_id, NULL, NULL, NULL, NULL, status, method FROM stg_payments)
+              GROUP BY order_id) USING (order_id)
+        JOIN (SELECT customer_id, sk_cliente FROM dim_cliente) USING (customer_id) JOIN (SELECT product_id, sk_produto FROM dim_produto) USING (product_id)""",
     "dim_data": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_data, d AS data, CAST(year(d) AS INTEGER) AS ano,
                CAST(month(d) AS INTEGER) AS mes, CAST(isodow(d) AS INTEGER) AS dia_semana, isodow(d) >= 6 AS fim_de_semana
-        FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
-              FROM (SELECT min(created_at) AS lo, max(created_at) AS hi FROM stg_orders))""",
+        FROM (SELECT CAST(unnest(generate_series(min(dia), max(dia), INTERVAL 1 DAY)) AS DATE) AS d
+              FROM (SELECT created_at AS dia FROM stg_orders UNION ALL SELECT event_date FROM silver_events
+                    UNION ALL SELECT promised_at FROM chk_shipments WHERE motivos = ''))""",
     "dim_campanha": """
         SELECT row_number() OVER (ORDER BY campaign_id) AS sk_campanha, campaign_id, name AS nome, channel AS canal
         FROM raw_campaigns""",
@@ -218,23 +228,26 @@ VIEWS: dict[str, str] = {
                status, CAST(date_diff('day', promised_at, delivered_at) AS INTEGER) AS dias_atraso,
                delivered_at <= promised_at AS no_prazo
         FROM chk_shipments WHERE motivos = ''""",
-    "vendas_validas": "SELECT * FROM fato_vendas WHERE status_pagamento IN ('approved') AND status_pedido NOT IN ('cancelled')",
+    "vendas_validas": """
+        SELECT * FROM fato_vendas WHERE order_id IN (SELECT order_id FROM stg_payments WHERE status = 'approved' EXCEPT SELECT order_id FROM stg_orders WHERE status = 'cancelled')""",
     "mart_receita": """
-        SELECT data, categoria, count(*) AS pedidos, CAST(sum(q) AS BIGINT) AS itens, CAST(sum(v) AS DECIMAL(18,2)) AS receita
-        FROM (SELECT sk_data, categoria, order_id, sum(quantidade) AS q, sum(valor_bruto) AS v
-              FROM vendas_validas JOIN dim_produto USING (sk_produto) GROUP BY 1, 2, 3) JOIN dim_data USING (sk_data)
-        GROUP BY data, categoria""",
+        SELECT created_at AS data, category AS categoria, count(DISTINCT order_id) AS pedidos, CAST(sum(itens) AS BIGINT) AS itens, CAST(sum(valor) AS DECIMAL(18,2)) AS receita
+        FROM (SELECT order_id, product_id, sum(quantity) AS itens, sum(quantity * unit_price) AS valor FROM stg_order_items GROUP BY order_id, product_id)
+        SEMI JOIN (SELECT order_id FROM stg_payments WHERE status = 'approved' EXCEPT SELECT order_id FROM stg_orders WHERE status = 'cancelled') USING (order_id)
+        JOIN (SELECT order_id, customer_id, created_at FROM stg_orders) USING (order_id) SEMI JOIN stg_customers USING (customer_id)
+        JOIN (SELECT product_id, category FROM stg_products) USING (product_id)
+        GROUP BY created_at, category""",
     # notebooks --------------------------------------------------------------
     "mob_first": """
         SELECT event_id AS evento_id, ts AS data_hora,
-               CASE user_id % 4 WHEN 0 THEN 'São Paulo' WHEN 1 THEN 'Recife' WHEN 2 THEN 'Curitiba' ELSE 'Goiânia' END AS cidade,
+               CASE user_id % 4 WHEN 0 THEN 'Manaus' WHEN 1 THEN 'Natal' WHEN 2 THEN 'Palmas' ELSE 'Maceió' END AS cidade,
                CASE WHEN event_id % 41 = 0 THEN 'Onibus' WHEN event_type = 'view' THEN 'ônibus' WHEN event_type = 'click' THEN 'metrô'
                     WHEN event_type = 'signup' THEN 'bicicleta' ELSE 'aplicativo' END AS modal,
                CASE WHEN event_id % 37 <> 0 THEN CAST(value AS DECIMAL(12,2)) END AS distancia_km,
                CAST(CASE WHEN event_id % 43 = 0 THEN -1 WHEN event_id % 47 = 0 THEN 999 WHEN event_id % 49 = 0 THEN 240
                     ELSE CAST((event_id * 7) % 2500 AS DECIMAL(8,1)) / 10 END AS DECIMAL(8,1)) AS duracao_min,
-               CASE event_id % 3 WHEN 0 THEN 'concluída' WHEN 1 THEN 'cancelada' ELSE 'interrompida' END AS status,
-               CASE event_id % 4 WHEN 0 THEN 'bilhetagem' WHEN 1 THEN 'gps' WHEN 2 THEN 'aplicativo' ELSE 'estação' END AS fonte
+               CASE event_id % 3 WHEN 0 THEN 'chegou' WHEN 1 THEN 'cancelada' ELSE 'parcial' END AS status,
+               CASE event_id % 4 WHEN 0 THEN 'validador' WHEN 1 THEN 'sensor' WHEN 2 THEN 'aplicativo' ELSE 'catraca' END AS fonte
         FROM events""",
     "mobility": "SELECT * FROM mob_first UNION ALL SELECT * FROM mob_first WHERE evento_id % 53 = 0",
     "mob_kept": """

@@ -21,7 +21,7 @@ def money(c: Column | str) -> Column:
 
 def cents_to_money(c: Column | str, kind: str = MONEY) -> Column:
     """Integer cents to decimal money: 1999 becomes 19.99."""
-    return (column(c).cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast(kind)
+    return (column(c).cast("decimal(36,0)") * F.lit(Decimal("0.01"))).cast(kind)
 
 
 def to_cents(c: Column | str) -> Column:
@@ -34,8 +34,8 @@ def to_cents(c: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact decimal sum of a double money column, as an aggregate."""
-    return cents_to_money(F.sum(to_cents(c)).cast("decimal(18,0)"), "decimal(18,2)")
+    """Exact decimal sum of a double money column, as an aggregate; cents are added up in 30 digits."""
+    return cents_to_money(F.sum(to_cents(c).cast("decimal(20,0)")), "decimal(18,2)")
 
 
 def code(c: Column | str) -> Column:

@@ -15,19 +15,25 @@ from quartzo.operators.keys import latest_version, surrogate_key
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """Insert or replace by key; of several changes the one with the highest ``seq`` counts.
 
-    A change older than the base row is ignored. The base is only filtered, never sorted:
+    A change older than the base row is ignored; a missing ``seq`` is older than any other, and of equal ones the change
+    counts. Keys compare null-safe, so each key comes out once. The base is only filtered, never sorted:
     with few changes Spark broadcasts them and leaves the base where it is.
     """
     newest = latest_version(changes.select(*base.columns), keys, [seq])
     incoming = newest.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(seq).alias("_seq"))
     current = base.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(seq).alias("_seq"))
-    kept = base.join(incoming, _match(base, incoming, keys) & (incoming["_seq"] >= base[seq]), "left_anti")
-    applied = newest.join(current, _match(newest, current, keys) & (current["_seq"] > newest[seq]), "left_anti")
+    kept = base.join(incoming, _match(base, incoming, keys) & ~_newer(base[seq], incoming["_seq"]), "left_anti")
+    applied = newest.join(current, _match(newest, current, keys) & _newer(current["_seq"], newest[seq]), "left_anti")
     return kept.unionByName(applied)
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k] == right[f"_k_{k}"] for k in keys])
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
+
+
+def _newer(one: Column, other: Column) -> Column:
+    """Whether ``one`` is later than ``other``; a missing value is earlier than any other. Never null."""
+    return one.isNotNull() & (other.isNull() | (one > other))
 
 
 def delete_keys(base: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartzo.functions.columns import fold_spelling
-from quartzo.operators.hot import HOT_ROWS, numbered
 
-SMALL_ROWS = 1_000_000
 
+def size_checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join that broadcasts the right side if its bytes pass the session's threshold, and else shuffles.
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; reads no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", max_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """Broadcast the right side when its size passes the check, else a shuffled merge join."""
-    return left.join(F.broadcast(right) if is_small(right, max_rows) else right.hint("merge"), on, how)
+    No hint and no count: Spark checks the size it knows while planning, and again, by adaptive execution, the size it has
+    measured; skewed partitions of a shuffled join are split.
+    """
+    return left.join(right, on, how)
 
 
 def _single(df: DataFrame, on: list[str], side: str) -> DataFrame:
@@ -89,26 +83,18 @@ def rows_added_by_join(left: DataFrame, right: DataFrame, on: list[str]) -> Data
     ).withColumn("linhas_a_mais", F.col("linhas_depois") - F.col("linhas_antes"))
 
 
-def nested(
-    parent: DataFrame,
-    child: DataFrame,
-    on: list[str],
-    order: list[str],
-    fields: list[str],
-    name: str,
-    page_rows: int = 1000,
-    segment: list[Column] | None = None,
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
-    """Parents with their children as a sorted list, in pages of at most ``page_rows``.
-
-    A parent with no more children than a page holds gives one row, others one per page,
-    so no list grows with the data.
+def nested(parent: DataFrame, child: DataFrame, on: list[str], order: list[str], fields: list[str], name: str, most: int = 1000) -> DataFrame:
+    """One row per parent with its children as a sorted list; NULL without a child.
+
+    ``most`` is the caller's bound on the children of a parent: one with more fails the job. Only the first ``most`` + 1
+    children leave a map task, so no task ever holds a longer list. Remaining columns break ties of ``order``. Where no
+    bound is known, join the children in long form instead.
     """
-    placed = numbered(child, on, order, segment or [F.col(order[0])], "_position", hot_rows)
-    paged = placed.withColumn("pagina", F.expr(f"(_position - 1) div {int(page_rows)}"))
-    lists = paged.groupBy(*on, "pagina").agg(F.sort_array(F.collect_list(F.struct("_position", *fields))).alias("_list"))
-    shaped = lists.select(
-        *on, "pagina", F.transform("_list", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name)
-    )
-    return parent.join(shaped, on, "left").withColumn("pagina", F.coalesce("pagina", F.lit(0)))
+    rest = [c for c in child.columns if c not in on and c not in order]
+    over = Window.partitionBy(*on).orderBy(*[F.col(c).asc_nulls_first() for c in order + rest])
+    placed = child.withColumn("_position", F.row_number().over(over)).filter(F.col("_position") <= int(most) + 1)
+    lists = placed.groupBy(*on).agg(F.sort_array(F.collect_list(F.struct("_position", *fields))).alias("_list"))
+    too_long = F.raise_error(F.concat(F.lit(f"more than {int(most)} children: "), F.to_json(F.struct(*on))))
+    shaped = F.transform("_list", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+    guarded = F.when(F.size("_list") > int(most), too_long.cast(lists.select(shaped).schema[0].dataType)).otherwise(shaped)
+    return parent.join(lists.select(*on, guarded.alias(name)), on, "left")

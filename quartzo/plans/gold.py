@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +13,14 @@ from quartzo.functions.domains import FUNNEL_STEPS
 from quartzo.operators.keys import surrogate_key
 
 
-def dim_date(days: DataFrame, column: str) -> DataFrame:
-    """Calendar from the first to the last day of ``column``; weeks start on Monday = 1."""
-    ends = days.agg(F.min(column).cast("date").alias("lo"), F.max(column).cast("date").alias("hi"))
-    ends = ends.filter("lo is not null")
-    return ends.select(F.explode(F.sequence("lo", "hi")).alias("data")).select(
+def dim_date(*days: tuple[DataFrame, str]) -> DataFrame:
+    """The calendar that all facts share: every day from the first to the last of the given columns.
+
+    Weeks start on Monday = 1. Each column gives two values; days without any fact between them are there too.
+    """
+    ends = [d.agg(F.min(day).cast("date").alias("lo"), F.max(day).cast("date").alias("hi")) for d, day in days]
+    both = reduce(DataFrame.unionByName, ends).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo is not null")
+    return both.select(F.explode(F.sequence("lo", "hi")).alias("data")).select(
         c.date_key("data").alias("sk_data"),
         "data",
         F.year("data").alias("ano"),
@@ -218,7 +222,7 @@ def build(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All Gold tables and marts from the approved Silver frames."""
     keyed = product_keys(silver["products"])
     t = {
-        "dim_data": dim_date(silver["orders"], "created_at"),
+        "dim_data": dim_date((silver["orders"], "created_at"), (silver["events"], "event_at"), (silver["shipments"], "promised_at")),
         "dim_cliente": dim_customer(silver["customers"]),
         "dim_produto": dim_product(keyed, silver["catalog"], silver["suppliers"]),
         "dim_campanha": dim_campaign(silver["campaigns"]),

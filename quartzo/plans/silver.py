@@ -169,8 +169,10 @@ def check_catalog(catalog: DataFrame, suppliers: DataFrame, hot_rows: int | None
 
 
 def check_inventory(inventory: DataFrame) -> DataFrame:
-    typed = inventory.withColumn("quantity", c.number_or_null("quantity", "bigint"))
-    return quality.check(typed, [Rule("estoque_negativo", F.col("quantity") < 0)])
+    """A text that is no number is a violation of its own; a missing quantity is allowed."""
+    typed = inventory.withColumn("_text", c.tidy_text("quantity")).withColumn("quantity", c.number_or_null("quantity", "bigint"))
+    lost = F.col("_text").isNotNull() & F.col("quantity").isNull()
+    return quality.check(typed, [Rule("estoque_negativo", F.col("quantity") < 0), Rule("quantidade_ilegivel", lost)]).drop("_text")
 
 
 def check_shipments(shipments: DataFrame, orders: DataFrame) -> DataFrame:

@@ -64,6 +64,16 @@ def orphans(fact: DataFrame, key: str, dim: DataFrame) -> DataFrame:
     return used.join(dim.select(key), key, "left_anti")
 
 
+#: Dimensions with their keys, and the dimensions each fact refers to.
+DIMENSIONS = {"data": "sk_data", "cliente": "sk_cliente", "produto": "sk_produto", "campanha": "sk_campanha"}
+REFERS = {"fato_vendas": ("data", "cliente", "produto"), "fato_eventos": ("data", "cliente", "produto"), "fato_entregas": ("data",)}
+
+
+def links(gold: dict[str, DataFrame]) -> list[tuple[DataFrame, str, DataFrame]]:
+    """Every link from a fact to a dimension."""
+    return [(gold[fact], DIMENSIONS[d], gold[f"dim_{d}"]) for fact, dims in REFERS.items() for d in dims]
+
+
 def no_orphan_keys(links: list[tuple[DataFrame, str, DataFrame]]) -> DataFrame:
     lost = stacked([orphans(f, k, d).select(F.lit(k).alias("chave")) for f, k, d in links])
     n = lost.agg(F.count(F.lit(1)).alias("n"))
@@ -84,29 +94,15 @@ def validate_all(
     landing: DataFrame, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, gold: dict[str, DataFrame]
 ) -> DataFrame:
     """Seven rows (verificacao, ok, detalhe)."""
-    sales, events = gold["fato_vendas"], gold["fato_eventos"]
+    sales = gold["fato_vendas"]
     return stacked(
         [
             bronze_preserves_landing(landing, bronze),
             bronze_is_silver_plus_quarantine(bronze, silver, quarantine),
             unique_key(silver, "event_id", "silver_sem_event_id_repetido"),
             fact_grain(sales),
-            dim_keys_unique(
-                {
-                    "data": (gold["dim_data"], "sk_data"),
-                    "cliente": (gold["dim_cliente"], "sk_cliente"),
-                    "produto": (gold["dim_produto"], "sk_produto"),
-                }
-            ),
-            no_orphan_keys(
-                [
-                    (sales, "sk_data", gold["dim_data"]),
-                    (sales, "sk_cliente", gold["dim_cliente"]),
-                    (sales, "sk_produto", gold["dim_produto"]),
-                    (events, "sk_cliente", gold["dim_cliente"]),
-                    (events, "sk_produto", gold["dim_produto"]),
-                ]
-            ),
+            dim_keys_unique({name: (gold[f"dim_{name}"], key) for name, key in DIMENSIONS.items()}),
+            no_orphan_keys(links(gold)),
             approved_revenue_valid_only(sales, gold["mart_receita_categoria_dia"]),
         ]
     )

@@ -52,9 +52,9 @@ def write_parquet(df: DataFrame, path: str, codec: str = "zstd", mode: str = "ov
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: list[str], codec: str = "zstd", max_records: int = 5_000_000, gather: bool = True
+    df: DataFrame, path: str, by: list[str], codec: str = "zstd", max_records: int = 5_000_000, gather: bool = True, full: bool = False
 ) -> None:
-    """Write one folder per value of ``by``; folders that get no rows stay as they are.
+    """Write one folder per value of ``by``. Folders that get no rows stay as they are, unless the table is rebuilt in ``full``.
 
     Gathering rebalances rows by folder, so that each has few files, and splits a folder
     that holds a large share of the rows over several tasks. Rows that already lie
@@ -63,7 +63,7 @@ def write_partitioned(
     laid = df.hint("rebalance", *by) if gather else df
     (
         laid.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if full else "dynamic")
         .option("compression", codec)
         .option("maxRecordsPerFile", max_records)
         .partitionBy(*by)

@@ -65,8 +65,13 @@ def test_domain_lookup_needs_no_join(shop):
 
 def test_broadcast_only_after_a_size_check(shop):
     orders, customers = shop.table("orders").withColumnRenamed("o_custkey", "k"), shop.table("customer").withColumnRenamed("c_custkey", "k")
-    assert "BroadcastHashJoin" in plan_text(joins.checked_broadcast_join(orders, customers, ["k"]))
-    assert "SortMergeJoin" in plan_text(joins.checked_broadcast_join(orders, customers, ["k"], max_rows=10))
+    assert "BroadcastHashJoin" in plan_text(joins.size_checked_join(orders, customers, ["k"]))
+    known = orders.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    orders.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert "SortMergeJoin" in plan_text(joins.size_checked_join(orders, customers, ["k"]))
+    finally:
+        orders.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
 
 
 def test_funnel_shuffles_sessions_not_copies(spark):

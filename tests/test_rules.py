@@ -155,12 +155,19 @@ def test_join_that_multiplies(spark):
     assert tuple(joins.rows_added_by_join(left, right, ["id"]).first()) == (3, 5, 2)
 
 
-def test_nested_pages(spark):
+def test_nested_gives_one_row_or_fails(spark):
     parent = spark.createDataFrame([(1,), (2,)], "id int")
-    child = spark.createDataFrame([(1, i) for i in range(7)], "id int, n int")
-    got = joins.nested(parent, child, ["id"], ["n"], ["n"], "filhos", page_rows=3, hot_rows=2).collect()
-    pages = {(r.id, r.pagina): [x.n for x in r.filhos] if r.filhos else None for r in got}
-    assert pages == {(1, 0): [0, 1, 2], (1, 1): [3, 4, 5], (1, 2): [6], (2, 0): None}
+    child = spark.createDataFrame([(1, 6 - i) for i in range(7)], "id int, n int")
+    got = joins.nested(parent, child, ["id"], ["n"], ["n"], "filhos", most=7).collect()
+    assert {r.id: [x.n for x in r.filhos] if r.filhos else None for r in got} == {1: [0, 1, 2, 3, 4, 5, 6], 2: None} and len(got) == 2
+    with pytest.raises(Exception, match="more than 6 children"):
+        joins.nested(parent, child, ["id"], ["n"], ["n"], "filhos", most=6).collect()
+
+
+def test_unreadable_stock_is_rejected(spark):
+    rows = [(1, "5"), (2, "abc"), (3, "-1"), (4, None)]
+    got = silver.check_inventory(spark.createDataFrame(rows, "product_id int, quantity string")).collect()
+    assert {r.product_id: r.motivos for r in got} == {1: "", 2: "quantidade_ilegivel", 3: "estoque_negativo", 4: ""}
 
 
 def test_contents(spark):
