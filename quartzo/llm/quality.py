@@ -28,6 +28,8 @@ FLOORS = {"length": 0.5, "word": 0.1, "symbols": 0.3, "lines": 0.05, "repeats":
 #: Bins for each unit of a statistic and for each doubling of a squared distance.
 FINE, PER_DOUBLING = 100, 16
 POS_BITS = 24
+#: Parts into which the rows of every group are dealt wherever they meet their group's estimate.
+PARTS = 32
 
 
 def _repeat_places(words: str) -> tuple[Column, Column]:
@@ -96,9 +98,9 @@ def _medians(long: DataFrame) -> DataFrame:
 def _start(rows: DataFrame, dims: list[str]) -> DataFrame:
     """g, centre and factor (its covariance's lower triangle) from medians and median deviations."""
     each = F.explode(F.array(*(F.struct(F.lit(d).alias("dim"), F.col(d).alias("x")) for d in dims))).alias("e")
-    long = rows.select("g", each).select("g", "e.dim", "e.x")
+    long = rows.select("g", "part", each).select("g", "part", "e.dim", "e.x")
     centre = _medians(long)
-    spread = _medians(long.join(centre, ["g", "dim"]).select("g", "dim", F.abs(F.col("x") - F.col("median")).alias("x"))).withColumnRenamed("median", "mad")
+    spread = _medians(_beside(long, centre, ("g", "dim")).select("g", "dim", F.abs(F.col("x") - F.col("median")).alias("x"))).withColumnRenamed("median", "mad")
     floors = F.create_map(*(F.lit(x) for pair in FLOORS.items() for x in pair))
     both = centre.join(spread, ["g", "dim"]).withColumn("sd", F.greatest(1.4826 * F.col("mad"), floors[F.col("dim")]))
     picked = lambda c, d: F.max(F.when(F.col("dim") == d, F.col(c)))
@@ -127,6 +129,12 @@ def _estimate(core: DataFrame, dims: list[str]) -> DataFrame:
     return sums.select("g", *(f"m_{d}" for d in dims), *(f"l_{a}_{b}" for a, b in pairs))
 
 
+def _beside(rows: DataFrame, estimates: DataFrame, by: tuple[str, ...] = ("g",)) -> DataFrame:
+    """Join one row per group to all its rows, dealt by group and part, so no large group meets in one task."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    return rows.join(estimates.select("*", parts), [*by, "part"])
+
+
 def _bins(distances: DataFrame) -> DataFrame:
     place = F.floor(PER_DOUBLING * F.log2(F.col("d2") + 1e-3)).cast("int")
     return distances.withColumn("bin", place)
@@ -135,17 +143,18 @@ def _bins(distances: DataFrame) -> DataFrame:
 def _judged(rows: DataFrame, dims: list[str]) -> DataFrame:
     """row and distance (squared; null where its group is too small to judge). ``rows``: row, g and the statistics."""
     big = rows.groupBy("g").count().where(F.col("count") >= LEAST).select("g")
-    judged = stored(rows.join(big, "g", "left_semi"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int"))
+    judged = stored(_beside(rows, big))
     fit = stored(_start(judged, dims))
     for _ in range(STEPS):
-        distances = _bins(judged.join(fit, "g").withColumn("d2", _squared(dims)).select("g", *dims, "d2"))
+        distances = _bins(_beside(judged, fit).withColumn("d2", _squared(dims)).select("g", "part", *dims, "d2"))
         reach = _reach(distances.groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], CORE).withColumnRenamed("bin", "last")
-        fit = stored(_estimate(distances.join(reach, "g").where("bin <= last"), dims))
-    distances = judged.join(fit, "g").select("row", "g", _squared(dims).alias("d2"))
+        fit = stored(_estimate(_beside(distances, reach).where("bin <= last"), dims))
+    distances = _beside(judged, fit).select("row", "g", "part", _squared(dims).alias("d2"))
     # the core's covariance is too small by a factor; the median distance, 4.35 for five statistics, shows it
     middle = _reach(_bins(distances).groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], 0.5)
     scale = middle.select("g", F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 0.5) / PER_DOUBLING) / 4.35).alias("scale"))
-    return distances.join(scale, "g").select("row", (F.col("d2") / F.col("scale")).alias("distance"))
+    return _beside(distances, scale).select("row", (F.col("d2") / F.col("scale")).alias("distance"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
