@@ -9,6 +9,8 @@ from quartzo.llm.common import unused
 
 #: A line is boilerplate if more than this share of its host's pages contain it, and no fewer pages than this.
 RATIO, PAGES = 0.2, 3
+#: Parts into which the pages of every host are dealt where they meet their host's boilerplate.
+PARTS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -46,10 +48,13 @@ def drop_boilerplate(pages: DataFrame, url: str = "url", html: str = "html", rat
     """
     added = ["host", "n_lines", "n_dropped", "kept_text"]
     pages = pages.drop(*added)
-    lines, drop, of = unused(pages, "lines", "boilerplate", "of")
+    lines, drop, of, part, parts = unused(pages, "lines", "boilerplate", "of", "part", "parts")
     rows = pages.withColumns({"host": host_of(F.col(url)), lines: lines_of(F.col(html))})
     bad = boilerplate(rows.select("host", F.col(lines).alias("lines")), ratio, least).select(F.col("host").alias(of), F.col("boilerplate").alias(drop))
-    rows = rows.join(bad, F.col("host").eqNullSafe(F.col(of)), "left")
+    # a host's short list goes to every part, so the pages of a large host don't meet in one task
+    bad = bad.withColumn(parts, F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    rows = rows.withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).cast("int"))
+    rows = rows.join(bad, F.col("host").eqNullSafe(F.col(of)) & (F.col(part) == F.col(parts)), "left")
     (free,) = unused(rows, "free")
     rows = rows.withColumn(free, F.size(F.array_except(lines, drop)))  # hashed, so pages that are all or no boilerplate are quick
     some = F.filter(lines, lambda x: ~F.array_contains(drop, x))
