@@ -41,9 +41,10 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     """
     known = messages.select(F.col("msg").alias("up"))
     nodes = messages.join(known, messages["parent"] == known["up"], "left").select("tree", "msg", "up", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    now = stored(nodes)
-    most = now.count().bit_length() + 1  # no way is longer than there are messages
-    settled, live, levels = now.where("up is null"), now.where("up is not null"), []  # up: 2^k replies up; score: on the way
+    first = stored(nodes)
+    most = first.count().bit_length() + 1  # no way is longer than there are messages
+    # up: 2^k replies up; score: on the way
+    settled, live, levels = first.where("up is null"), first.where("up is not null"), []
     while not live.isEmpty():
         levels.append(live)
         if len(levels) > most:
@@ -53,10 +54,11 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
         now = stored(now.select("tree", "msg", F.col("far").alias("up"), (F.col("score") + F.col("more")).alias("score")))
         settled, live = settled.union(now.where("up is null")), now.where("up is not null")
     # here settled has every message with the score of its whole way to the root
-    replied = nodes.where("up is not null").select(F.col("up").alias("msg")).distinct()
-    leaves = settled.join(replied, "msg", "left_anti")
+    replied = first.where("up is not null").select(F.col("up").alias("msg")).distinct()
+    leaves = stored(settled).join(replied, "msg", "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "msg"))
-    on = leaves.withColumn("rank", rank).where(F.col("rank") <= best).select(F.col("msg").alias("branch"), "tree", "rank", "msg", F.lit(0).alias("above"))
+    on = leaves.withColumn("rank", rank).where(F.col("rank") <= best)
+    on = stored(on.select(F.col("msg").alias("branch"), "tree", "rank", "msg", F.lit(0).alias("above")))
     for k in range(len(levels) - 1, -1, -1):  # every distance from the leaf is a sum of jumps
         up = levels[k].select(F.col("msg").alias("m"), F.col("up").alias("next"))
         on = stored(on.union(on.join(up, F.col("msg") == F.col("m")).select("branch", "tree", "rank", F.col("next"), F.col("above") + F.lit(1 << k))))
