@@ -94,7 +94,7 @@ def incremental_extract(shop):
     batches = []
     for turn, upto in ((1, "1998-06-30"), (2, None)):
         source = orders if upto is None else orders.filter(F.col("updated_at") <= F.lit(upto).cast("date"))
-        mark = control.watermark("orders", "1996-12-31")
+        mark = control.watermark("orders", "1996-12-31", "date")
         batch = changed_since(source, "updated_at", mark, "date").withColumn("lote", F.lit(turn))
         path = scratch(shop.spark, "extract")
         formats.write_parquet(batch, path)

@@ -13,10 +13,11 @@ class Control:
         self.spark = spark
         self.path = path
 
-    def watermark(self, source: str, start: str) -> str:
+    def watermark(self, source: str, start: str, kind: str = "string") -> str:
+        """The highest mark stored, compared as ``kind``: as a number 10 is above 9, as text it isn't."""
         try:
             log = self.spark.read.schema("fonte string, marca string").parquet(self.path)
-            found = log.filter(F.col("fonte") == source).agg(F.max("marca")).first()[0]
+            found = log.filter(F.col("fonte") == source).agg(F.max(F.col("marca").cast(kind)).cast("string")).first()[0]
         except Exception as error:  # nothing was loaded yet
             if "PATH_NOT_FOUND" not in str(error):
                 raise

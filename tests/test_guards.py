@@ -9,6 +9,7 @@ from quartzo.functions.columns import money_sum
 from quartzo.operators.changes import upsert
 from quartzo.plans import gold, validate
 from quartzo.sources import formats
+from quartzo.sources.control import Control
 
 DAY = datetime.date(2024, 1, 1)
 
@@ -66,3 +67,10 @@ def test_a_full_rebuild_forgets_a_day_and_a_partial_one_keeps_it(spark, tmp_path
         formats.write_partitioned(both, path, ["day"])
         formats.write_partitioned(both.filter("v = 1"), path, ["day"], full=full)
         assert {str(r.day) for r in spark.read.parquet(path).collect()} == days
+
+
+def test_marks_compare_by_their_kind(spark, tmp_path):
+    control = Control(spark, str(tmp_path / "marks"))
+    for mark in ("9", "10"):
+        control.advance("t", mark)
+    assert control.watermark("t", "0", "bigint") == "10" and control.watermark("other", "0", "bigint") == "0"
