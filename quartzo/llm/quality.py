@@ -3,6 +3,7 @@
 Fixed rules reject a text first. Then every language and source gets its own minimum-covariance-determinant estimate of where
 its texts' statistics lie: starting from medians and spreads, concentration steps keep the ``CORE`` share of texts that lie
 closest and estimate centre and covariance anew from these. A text whose Mahalanobis distance is too large is an outlier.
+Texts of groups too small for an estimate are judged by that of their language, or of all texts where that is small too.
 
 All of it is grouped sums over one narrow row per text. Medians and the reach of the core come from counts in fine bins, so
 no group, however large, has to be sorted or held in one task, and reruns agree.
@@ -19,7 +20,7 @@ from quartzo.llm.common import blank_words, identified, stored, unused
 
 #: The symbols that count.
 SYMBOLS = "#*$%&|<>"
-#: Share of texts that the estimate rests on; concentration steps; texts a group must have to be judged.
+#: Share of texts that the estimate rests on; concentration steps; texts a group must have for an estimate of its own.
 CORE, STEPS, LEAST = 0.75, 4, 40
 #: Squared distance of an outlier: far beyond the chi-square tail with 5 degrees, as the tails of texts are heavier.
 CUTOFF = 90.0
@@ -140,33 +141,55 @@ def _bins(distances: DataFrame) -> DataFrame:
     return distances.withColumn("bin", place)
 
 
+def _populations(rows: DataFrame) -> DataFrame:
+    """``rows`` (row, g, ...) for every group whose estimate is needed: g is (level, lang, source), asks tells which judges a row.
+
+    Level 0 is a language and source of ``LEAST`` texts or more. Level 1 is a language with a smaller source, if it has as
+    many texts; its estimate rests on all of them. Level 2 is all texts, if a language has fewer.
+    """
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int")).withColumn("l", F.struct("g.lang"))
+    counts = stored(rows.groupBy("g", "l").count())
+    langs = stored(counts.groupBy("l").agg(F.sum("count").alias("texts"), F.min("count").alias("least")).where(F.col("least") < LEAST))
+    all_too = not langs.where(F.col("texts") < LEAST).isEmpty()
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    rows = rows.join(counts.where(F.col("count") >= LEAST).select("g", F.lit(True).alias("own"), parts), ["g", "part"], "left")
+    rows = rows.join(langs.select("l", (F.col("texts") >= LEAST).alias("wide"), parts), ["l", "part"], "left")
+    own, wide = F.coalesce("own", F.lit(False)), F.coalesce("wide", F.lit(False))
+    group = lambda level, lang, source, asks: F.struct(F.struct(F.lit(level).alias("level"), lang.alias("lang"), source.alias("source")).alias("g"), asks.alias("asks"))
+    none = F.lit(None).cast("string")
+    levels = F.array(
+        F.when(own, group(0, F.col("g.lang"), F.col("g.source"), own)), F.when(wide, group(1, F.col("g.lang"), none, ~own)),
+        F.when(F.lit(all_too), group(2, none, none, ~own & ~wide)),
+    )
+    rows = rows.withColumn("p", F.explode(F.array_compact(levels)))
+    return rows.withColumn("g", F.col("p.g")).withColumn("asks", F.col("p.asks")).drop("l", "own", "wide", "p")
+
+
 def _judged(rows: DataFrame, dims: list[str]) -> DataFrame:
-    """row and distance (squared; null where its group is too small to judge). ``rows``: row, g and the statistics."""
-    big = rows.groupBy("g").count().where(F.col("count") >= LEAST).select("g")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int"))
-    judged = stored(_beside(rows, big))
+    """row, level of the group that judges it, and distance (squared). ``rows``: row, g and the statistics."""
+    judged = stored(_populations(rows))
     fit = stored(_start(judged, dims))
     for _ in range(STEPS):
         distances = _bins(_beside(judged, fit).withColumn("d2", _squared(dims)).select("g", "part", *dims, "d2"))
         reach = _reach(distances.groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], CORE).withColumnRenamed("bin", "last")
         fit = stored(_estimate(_beside(distances, reach).where("bin <= last"), dims))
-    distances = _beside(judged, fit).select("row", "g", "part", _squared(dims).alias("d2"))
+    distances = _beside(judged, fit).select("row", "g", "part", "asks", _squared(dims).alias("d2"))
     # the core's covariance is too small by a factor; the median distance, 4.35 for five statistics, shows it
     middle = _reach(_bins(distances).groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], 0.5)
     scale = middle.select("g", F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 0.5) / PER_DOUBLING) / 4.35).alias("scale"))
-    return _beside(distances, scale).select("row", (F.col("d2") / F.col("scale")).alias("distance"))
+    return _beside(distances.where("asks"), scale).select("row", F.col("g.level").alias("level"), (F.col("d2") / F.col("scale")).alias("distance"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """All rows and columns, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance and kept.
+    """All rows and columns, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, wider_distance and kept.
 
     base_failed: under 50 words, or over half of them in 3-word windows that the text has twice. distance: squared
-    Mahalanobis distance within the text's language and source, null for texts without a word and in groups of under
-    ``LEAST`` texts, which the method does not judge. kept: not base_failed, and no distance above ``CUTOFF``. Null texts
-    have no words; null languages and sources are groups like any other. Repeated rows get equal results. Columns of the
-    same names are replaced.
+    Mahalanobis distance within the text's language and source, null in groups of under ``LEAST`` texts. wider_distance:
+    theirs within the texts of the language, or within all texts where the language has under ``LEAST`` too. Every text with
+    a word has one of the two. kept: not base_failed, and no distance above ``CUTOFF``. Null texts have no words; null
+    languages and sources are groups like any other. Repeated rows get equal results. Columns of the same names are replaced.
     """
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept"]
+    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "wider_distance", "kept"]
     docs = docs.drop(*added)
     (rid,) = unused(docs, "row")
     whole = identified(docs, rid)
@@ -177,4 +200,5 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = found.join(distances, "row", "left").withColumn("base_failed", failed)
     out = out.withColumn("kept", ~failed & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).withColumnRenamed("row", "found_row")
+    out = out.withColumn("wider_distance", F.when(F.col("level") > 0, F.col("distance"))).withColumn("distance", F.when(F.col("level") == 0, F.col("distance")))
     return whole.join(out, F.col(rid) == F.col("found_row")).select(*(F.col(f"`{c}`") for c in docs.columns), *added)

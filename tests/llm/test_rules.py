@@ -101,6 +101,26 @@ def test_outliers_of_each_group(spark):
     assert again == {i: r.kept for i, r in got.items()}
 
 
+def test_small_groups_are_judged_by_wider_ones(spark):
+    rng = random.Random(4)
+
+    def plain():
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(rng.randrange(60, 200)))
+
+    def noisy():
+        return " ".join(rng.choice("#$%&") * 6 + str(rng.randrange(10**6)) for _ in range(80))
+
+    # every source of x is small, its texts are many; y is small altogether
+    rows = [("x", f"s{i % 9}", plain(), True) for i in range(180)] + [("x", f"s{i}", noisy(), False) for i in range(9)]
+    rows += [("y", None, plain(), True) for _ in range(6)] + [(None, "s1", noisy(), False), ("y", "s1", noisy(), False), ("y", "s1", "one", None), ("y", "s1", None, None)]
+    schema = "doc_id long, lang string, source string, text string, good boolean"
+    for part in (rows, rows[154:180] + rows[186:]):  # of the second, even all texts are fewer than a source must have
+        for r in judge(spark.createDataFrame([(i, *x) for i, x in enumerate(part)], schema)).collect():
+            assert r.distance is None and (r.wider_distance is not None) == (r.n_words > 0), r.doc_id
+            assert r.kept == bool(r.good), r.doc_id
+    assert [r.kept for r in judge(spark.createDataFrame([(1, "z", "s", plain(), True)], schema)).collect()] == [True]
+
+
 def test_distance_is_mahalanobis(spark):
     rng = np.random.default_rng(0)
     dims = list(quality.FLOORS)
