@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from quartzo.catalog.base import query
 from quartzo.functions import columns as c
 from quartzo.functions.domains import MODAL_SPELLING
-from quartzo.operators.joins import nested
 from quartzo.operators.lookup import list_ordered, point_lookup, search
 from quartzo.plans import academic, bookstore, mobility, sales
 from quartzo.plans.silver import event_base
@@ -160,17 +159,9 @@ def star_except(shop):
 def explode_nested(shop):
     from quartzo.plans.silver import stg_orders
 
-    child = shop.order_items().select("order_id", "item_id", "quantity", "line_cents")
-    docs = nested(
-        stg_orders(shop.orders()).select("order_id", "customer_id"),
-        child,
-        ["order_id"],
-        ["item_id", "line_cents", "quantity"],
-        ["item_id", "quantity"],
-        "itens",
-    )
-    rows = docs.select("order_id", "customer_id", F.explode_outer("itens").alias("i"))
-    return rows.select("order_id", "customer_id", "i.item_id", "i.quantity")
+    # In long form: an order may have any number of items.
+    items = shop.order_items().select("order_id", "item_id", "quantity")
+    return stg_orders(shop.orders()).select("order_id", "customer_id").join(items, "order_id", "left")
 
 
 @query(

@@ -110,23 +110,17 @@ def book_author(shop):
        FROM stg_orders o LEFT JOIN raw_order_items i ON i.order_id = o.order_id GROUP BY ALL""",
 )
 def sale_with_items(shop):
-    child = shop.order_items().select("order_id", "item_id", "quantity", "line_cents")
-    sales = joins.nested(
-        silver.stg_orders(shop.orders()).select("order_id", "customer_id"),
-        child,
-        ["order_id"],
-        ["item_id", "line_cents", "quantity"],
-        ["item_id", "quantity", "line_cents"],
-        "itens",
-    )
-    ids = F.array_join(F.transform("itens", lambda x: x["item_id"].cast("string")), "|")
-    return sales.select(
-        "order_id",
-        "customer_id",
-        F.coalesce(F.size("itens").cast("bigint"), F.lit(0)).alias("itens"),
-        F.coalesce(F.aggregate("itens", F.lit(0).cast("bigint"), lambda a, x: a + x["line_cents"]), F.lit(0)).alias("centavos"),
-        ids.alias("lista"),
+    # Plain sums, whatever the number of items; only the text that lists an order's items grows with them.
+    items = shop.order_items().select("order_id", "item_id", "line_cents")
+    per = items.groupBy("order_id").agg(
+        F.count("item_id").alias("itens"),
+        F.sum("line_cents").cast("bigint").alias("centavos"),
+        F.sort_array(F.collect_list("item_id")).alias("_ids"),
     )
+    ids = F.when(F.size("_ids") > 0, F.array_join(F.transform("_ids", lambda x: x.cast("string")), "|"))
+    per = per.select("order_id", "itens", "centavos", ids.alias("lista"))
+    sales = silver.stg_orders(shop.orders()).select("order_id", "customer_id").join(per, "order_id", "left")
+    return sales.withColumns({"itens": F.coalesce("itens", F.lit(0)), "centavos": F.coalesce("centavos", F.lit(0))})
 
 
 @query(

@@ -164,6 +164,27 @@ def test_nested_gives_one_row_or_fails(spark):
         joins.nested(parent, child, ["id"], ["n"], ["n"], "filhos", most=6).collect()
 
 
+def test_an_order_may_have_any_number_of_items(spark, monkeypatch):
+    from quartzo.catalog.base import REGISTRY
+
+    monkeypatch.setattr(silver, "stg_orders", lambda orders: orders)
+
+    class Shop:
+        def orders(self):
+            return spark.createDataFrame([(1, 7), (2, 8), (3, 9)], "order_id long, customer_id long")
+
+        def order_items(self):
+            hot = spark.range(3000).select(F.lit(1).cast("long").alias("order_id"), (2999 - F.col("id")).alias("item_id"), F.lit(2).alias("quantity"), F.lit(5).cast("long").alias("line_cents"))
+            return hot.union(spark.createDataFrame([(2, 5, 1, 4), (2, None, 1, 3)], "order_id long, item_id long, quantity int, line_cents long"))
+
+    sales = {r.order_id: r for r in REGISTRY["sale_with_items"].build(Shop()).collect()}
+    assert (sales[1].itens, sales[1].centavos, sales[1].lista) == (3000, 15000, "|".join(map(str, range(3000))))
+    assert tuple(sales[2])[2:] == (1, 7, "5") and tuple(sales[3])[2:] == (0, 0, None)
+    lines = REGISTRY["explode_nested"].build(Shop())
+    assert lines.columns == ["order_id", "customer_id", "item_id", "quantity"]
+    assert lines.groupBy("order_id").count().orderBy("order_id").collect() == [(1, 3000), (2, 2), (3, 1)]
+
+
 def test_unreadable_stock_is_rejected(spark):
     rows = [(1, "5"), (2, "abc"), (3, "-1"), (4, None)]
     got = silver.check_inventory(spark.createDataFrame(rows, "product_id int, quantity string")).collect()
