@@ -63,8 +63,11 @@ def scratch(spark: SparkSession, label: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a frame in the shared folder and go on from the stored copy.
 
-    The copy survives the loss of executors, is computed once, and has a known size.
+    The copy survives the loss of executors, is computed once, and has a known size. It goes when the driver ends.
     """
-    path = scratch(df.sparkSession, "stored")
+    spark = df.sparkSession
+    path = scratch(spark, "stored")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
