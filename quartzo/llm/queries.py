@@ -13,6 +13,7 @@ from quartzo.llm.contamination import decontaminate
 from quartzo.llm.language import fit_languages, identify
 from quartzo.llm.licenses import APART, BASE, SEEN, WORDINGS, scan
 from quartzo.llm.lines import PAGES, RATIO, drop_boilerplate
+from quartzo.llm.merkle import leaf, manifest, refold
 from quartzo.llm.mixing import mix
 from quartzo.llm.quality import judge
 from quartzo.llm.sharding import shard
@@ -191,12 +192,63 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.drop("lang"), model).select("doc_id", held_out(), "lang_pred", "score")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = lambda n_chars: [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+    # of every seventh document or so the leaf after tampering
+    touched = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf(*fields(F.col("n_chars") + 1)))
+    rows = manifest(docs.withColumn("tampered", touched), fields(F.col("n_chars")), "lang", "doc_id", keep=["doc_id", "tampered"])
+    rows = rows.withColumn("folded_root", refold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    steps = f"flatten([[ord(x), -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split({text}, '')])"
+    return f"xor(list_reduce({steps}, lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295), 4294967295)"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = [f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')" for x in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(fields)})"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE raw AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('1' || lang, '0') AS g, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS touched
+  FROM documents
+), leaf AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM raw
+), node AS (
+  SELECT g, 0 AS lev, p, n, leaf AS h FROM leaf
+  UNION ALL SELECT g, lev + 1, p // 2, (min(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM node WHERE n > 1 GROUP BY g, lev, p // 2
+), sub AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS lev, p, n, subroot AS h FROM sub UNION ALL SELECT lev + 1, p // 2, (min(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY p)) FROM top WHERE n > 1 GROUP BY lev, p // 2
+), turn AS (  -- every row's own node on every level that has more than one
+  SELECT r, a.lev AS step, a.g, a.lev, a.p, true AS low FROM leaf JOIN node a ON a.g = leaf.g AND a.n > 1 AND a.p = leaf.p >> a.lev
+  UNION ALL SELECT r, 1000 + a.lev, leaf.g, a.lev, a.p, false FROM leaf JOIN sub USING (g) JOIN top a ON a.n > 1 AND a.p = sub.p >> a.lev
+), side AS (
+  SELECT r, step, t.p % 2 AS slot, coalesce(node.h, top.h, '') AS h FROM turn t
+  LEFT JOIN node ON t.low AND node.g = t.g AND node.lev = t.lev AND node.p = xor(t.p, 1) LEFT JOIN top ON NOT t.low AND top.lev = t.lev AND top.p = xor(t.p, 1)
+), path AS (
+  SELECT r, sha256(string_agg(h, '' ORDER BY step)) AS proof, list(CASE WHEN slot = 1 THEN h ELSE '' END ORDER BY step) AS lefts, list(CASE WHEN slot = 0 THEN h ELSE '' END ORDER BY step) AS rights FROM side GROUP BY r
+), fold AS (
+  SELECT r, 0 AS k, touched AS h FROM leaf
+  UNION ALL SELECT fold.r, k + 1, sha256(lefts[k + 1] || h || rights[k + 1]) FROM fold JOIN path ON path.r = fold.r AND k < len(lefts)
+), last AS (SELECT r, arg_max(h, k) AS folded FROM fold GROUP BY r)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaf JOIN sub USING (g) JOIN last USING (r) LEFT JOIN path USING (r), (SELECT h AS root FROM top WHERE n = 1)
+"""
+
+
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
         op1_sharding, op2_line_dedup, op3_simhash_near_dedup, op4_license_scans, op5_quality_rules, op6_benchmark_decontamination, op7_mixing,
-        op8_chat_formatting, op9_toxicity, op10_language_id,
+        op8_chat_formatting, op9_toxicity, op10_language_id, op12_merkle_manifest,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_license_scans": OP4_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_license_scans": OP4_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL, "op12_merkle_manifest": OP12_SQL}

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from quartzo.session import cut_lineage
 
@@ -51,11 +52,17 @@ def upto(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, 0)
 
 
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    return _sortable(kind.elementType) if isinstance(kind, ArrayType) else kind.typeName() not in ("map", "variant")
+
+
 def ranges(df: DataFrame, keys: list[str], order: list[str | Column]) -> Ranges:
     """Lay the rows out by keys, order, the other columns (nulls first), and store them."""
     given = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
     named = {o for o in order if isinstance(o, str)}
-    sortable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    sortable = [f.name for f in df.schema.fields if _sortable(f.dataType)]
     rest = [F.col(c).asc_nulls_first() for c in sortable if c not in keys and c not in named]
     total = [*(F.col(k).asc_nulls_first() for k in keys), *given, *rest, F.col("_copy").asc()]
     rows = df.withColumn("_copy", F.monotonically_increasing_id()).repartitionByRange(*total).sortWithinPartitions(*total)
@@ -67,13 +74,16 @@ def ranges(df: DataFrame, keys: list[str], order: list[str | Column]) -> Ranges:
     return Ranges(cut_lineage(laid), df.columns)
 
 
-def number(df: DataFrame, keys: list[str], order: list[str | Column], name: str) -> DataFrame:
-    """1, 2, ... inside each key; without keys over all rows."""
+def number(df: DataFrame, keys: list[str], order: list[str | Column], name: str, of: str | None = None) -> DataFrame:
+    """1, 2, ... inside each key; without keys over all rows. ``of``: a column for the key's number of rows."""
     laid = ranges(df, keys, order)
-    total = lambda w: F.coalesce(F.sum("_part").over(before(w)), F.lit(0))
-    return laid.with_carry(
-        F.row_number().over(laid.inside).cast("bigint"), F.count(F.lit(1)), total, lambda here, ahead: here + F.coalesce(ahead, F.lit(0)), name
+    here = F.struct(F.row_number().over(laid.inside).alias("n"), F.count(F.lit(1)).over(Window.partitionBy("_range", "_key")).alias("all"))
+    ahead = lambda w: F.struct(F.coalesce(F.sum("_part").over(before(w)), F.lit(0)).alias("n"), F.sum("_part").over(Window.partitionBy("_key")).alias("all"))
+    merge = lambda here, carry: F.struct(
+        (here["n"] + F.coalesce(carry["n"], F.lit(0))).cast("bigint").alias("n"), F.coalesce(carry["all"], here["all"]).alias("all")
     )
+    out = laid.with_carry(here, F.count(F.lit(1)), ahead, merge, "_number")
+    return out.select(*df.columns, F.col("_number.n").alias(name), *([F.col("_number.all").alias(of)] if of else []))
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str | Column], value: str, name: str) -> DataFrame:
