@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartzo.llm.chat import branches, format_branches, reply_chains, turns, under_mask
-from quartzo.llm.common import blank_words, stored, table
+from quartzo.llm.common import BLANKS, blank_words, stored, table
 from quartzo.llm.contamination import decontaminate
 from quartzo.llm.language import fit_languages, identify
 from quartzo.llm.licenses import APART, BASE, SEEN, WORDINGS, scan
@@ -19,6 +19,8 @@ from quartzo.llm.quality import judge
 from quartzo.llm.sharding import shard
 from quartzo.llm.simhash import simhash_components
 from quartzo.llm.toxicity import fit_toxicity, score_toxicity
+from quartzo.llm.trie import prefix_trie, step_digest
+from quartzo.operators.scan import number
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,12 +245,51 @@ FROM leaf JOIN sub USING (g) JOIN last USING (r) LEFT JOIN path USING (r), (SELE
 """
 
 
+#: Conversations that share a first one, and the remainders that say how many of its turns they take.
+FAMILY, TAKEN = 20, 4
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").where("conv_id is not null")  # without an id a turn is in no conversation
+    turns = given.select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long"), step_digest(F.col("role"), F.col("text")).alias("step"), n_blank_words().alias("words"))
+    turns = stored(number(turns, ["conv"], ["turn", "step"], "k").drop("turn"))
+    taken = F.crc32(F.col("conv").cast("string")) % TAKEN
+    convs = turns.where("k = 1").select("conv", taken.alias("h"), (F.col("conv") - F.col("conv") % FAMILY).alias("base"))
+    heads = turns.where(F.col("k") < TAKEN).withColumnRenamed("conv", "base")
+    first = convs.join(heads, "base").where("k <= h").select("conv", F.struct(F.lit(0).alias("own"), "k").alias("by"), "step", "words")
+    rest = turns.where(F.col("k") > taken).select("conv", F.struct(F.lit(1).alias("own"), "k").alias("by"), "step", "words")
+    return prefix_trie(first.union(rest), convs.select("conv"))
+
+
+OP13_SQL = rf"""
+WITH told AS (
+  SELECT conv_id::BIGINT AS c, turn, coalesce(text, '') AS text, coalesce(role, '') AS role, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS x
+  FROM conversations WHERE conv_id IS NOT NULL
+), turned AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, x) AS k, len([w FOR w IN regexp_split_to_array(text, '{BLANKS}') IF w <> '']) AS w FROM told),
+conv AS (SELECT c, {crc32_sql("c::VARCHAR")} % {TAKEN} AS h FROM (SELECT DISTINCT c FROM told)),
+built AS (
+  SELECT conv.c, 0 AS own, k, x, w FROM conv JOIN turned t ON t.c = conv.c - conv.c % {FAMILY} AND k <= h
+  UNION ALL SELECT c, 1, k, x, w FROM conv JOIN turned USING (c) WHERE k > h
+), line AS (SELECT c, coalesce(list(x ORDER BY own, k) FILTER (x IS NOT NULL), []) AS xs, coalesce(list(w ORDER BY own, k) FILTER (x IS NOT NULL), []) AS ws FROM conv LEFT JOIN built USING (c) GROUP BY c),
+part AS (SELECT c, d, len(xs) = d AS ends, array_to_string(xs[:d], '') AS key, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w FROM (SELECT *, unnest(range(len(xs) + 1)) AS d FROM line)),
+node AS (
+  SELECT key, d, min(c) AS c, count(*) AS n, min(w) AS w, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends FROM part GROUP BY key, d
+), child AS (SELECT left(key, 64 * (d - 1)::INT) AS key, count(*) AS kids FROM node WHERE d > 0 GROUP BY 1),
+under AS (
+  SELECT left(b.key, 64 * p::INT) AS key, sum((n - 1) * w) AS saved, count(*) FILTER (kids IS NULL) AS leaves
+  FROM (SELECT node.*, kids, unnest(range(d + 1)) AS p FROM node LEFT JOIN child USING (key)) b GROUP BY 1
+)
+SELECT a.c AS conv_id, a.d AS depth, up.c AS parent_conv_id, a.n AS n_convs, coalesce(kids, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, a.ends AS ends_sha256
+FROM node a LEFT JOIN child USING (key) JOIN under USING (key) LEFT JOIN node up ON a.d > 0 AND up.key = left(a.key, 64 * (a.d - 1)::INT)
+"""
+
+
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
         op1_sharding, op2_line_dedup, op3_simhash_near_dedup, op4_license_scans, op5_quality_rules, op6_benchmark_decontamination, op7_mixing,
-        op8_chat_formatting, op9_toxicity, op10_language_id, op12_merkle_manifest,
+        op8_chat_formatting, op9_toxicity, op10_language_id, op12_merkle_manifest, op13_prefix_trie,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_license_scans": OP4_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL, "op12_merkle_manifest": OP12_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_license_scans": OP4_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}
