@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartzo.llm import lm
 from quartzo.llm.chat import branches, format_branches, reply_chains, turns, under_mask
 from quartzo.llm.common import BLANKS, blank_words, stored, table
 from quartzo.llm.contamination import decontaminate
@@ -194,6 +195,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.drop("lang"), model).select("doc_id", held_out(), "lang_pred", "score")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False)).alias("held_out")
+    model = lm.fit(docs.where(~out), F.col("doc_id"))
+    return lm.score(docs, model, keep=["doc_id"]).select("doc_id", out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     fields = lambda n_chars: [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
@@ -287,7 +295,7 @@ FROM node a LEFT JOIN child USING (key) JOIN under USING (key) LEFT JOIN node up
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in (
         op1_sharding, op2_line_dedup, op3_simhash_near_dedup, op4_license_scans, op5_quality_rules, op6_benchmark_decontamination, op7_mixing,
-        op8_chat_formatting, op9_toxicity, op10_language_id, op12_merkle_manifest, op13_prefix_trie,
+        op8_chat_formatting, op9_toxicity, op10_language_id, op11_lm_scoring, op12_merkle_manifest, op13_prefix_trie,
     )}
 
 
