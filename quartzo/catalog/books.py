@@ -8,8 +8,8 @@ from quartzo.catalog.base import query
 from quartzo.operators import quality
 from quartzo.operators.keys import duplicated_keys
 from quartzo.operators.profile import stacked
+from quartzo.operators.scan import number
 from quartzo.operators.stock import accepted, settle, stock_after
-from quartzo.operators.hot import numbered
 from quartzo.plans import bookstore
 from quartzo.session import cut_lineage, scratch
 from quartzo.sources.lake import Versions
@@ -76,9 +76,9 @@ def settle_sales_hot_key(shop):
         (F.col("seller_id") % 10).alias("livro_id"), F.col("quantity").alias("quantidade"), "shipped_on", "order_id", "item_id", "product_id", "line_cents"
     )
     order = ["shipped_on", "order_id", "item_id", "product_id", "quantidade", "line_cents"]
-    turns = numbered(requests, ["livro_id"], order, [F.col("shipped_on")], "vez").select("livro_id", "vez", "quantidade")
+    turns = number(requests, ["livro_id"], order, "vez").select("livro_id", "vez", "quantidade")
     stock = shop.spark.range(10).select(F.col("id").alias("livro_id"), F.lit(5000).alias("estoque"))
-    decided = settle(cut_lineage(turns), stock, "livro_id", "vez", "quantidade", hot_rows=500)
+    decided = settle(cut_lineage(turns), stock, "livro_id", "vez", "quantidade", in_task=500)
     return decided.select("livro_id", "vez", "quantidade", "motivo", "estoque_antes")
 
 

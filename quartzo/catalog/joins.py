@@ -8,7 +8,6 @@ from quartzo.catalog.base import query
 from quartzo.functions.columns import money_sum
 from quartzo.functions.domains import CATEGORIES
 from quartzo.operators import joins
-from quartzo.operators.hot import hot_left_join
 from quartzo.plans import academic, bookstore, silver
 
 
@@ -23,9 +22,8 @@ def left_join_fk_check(shop):
     events = shop.events().select("event_id", "_source_file", "customer_id", "product_id")
     customers = shop.customer_ids().select(F.col("customer_id").alias("_c"))
     products = shop.product_ids().select(F.col("product_id").alias("_p"))
-    joined = events.join(customers, F.col("customer_id") == F.col("_c"), "left").join(
-        products, F.col("product_id") == F.col("_p"), "left"
-    )
+    joined = joins.reference_join(events, customers, "customer_id", "_c", "event_id")
+    joined = joins.reference_join(joined, products, "product_id", "_p", "event_id")
     return joined.select(
         "event_id",
         "_source_file",
@@ -192,7 +190,7 @@ def broadcast_join(shop):
 )
 def skew_join(shop):
     lines = shop.table("lineitem").select(F.col("l_suppkey").alias("supplier_id"), "l_quantity")
-    joined = hot_left_join(lines, shop.suppliers().select("supplier_id", "state"), ["supplier_id"])
+    joined = joins.salted_join(lines, shop.suppliers().select("supplier_id", "state"), ["supplier_id"])
     return joined.groupBy(F.col("state").alias("uf")).agg(
         F.count(F.lit(1)).alias("linhas"), F.sum("l_quantity").cast("bigint").alias("quantidade")
     )

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartzo.functions.domains import FAR_FUTURE
-from quartzo.operators.hot import HOT_ROWS, any_hot, last_known, neighbour
 from quartzo.operators.keys import latest_version, surrogate_key
+from quartzo.operators.scan import last_known, neighbour
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -59,23 +59,17 @@ def scd2(
     key: str,
     attrs: list[str],
     day: str,
-    segment: list[Column] | None = None,
     surrogate: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per span in which the attributes stayed the same.
 
     ``changes`` holds at most one row per key and day. A span ends where the next begins;
     the open one ends on 9999-12-31 and is marked ``atual``.
     """
-    segment = segment or [F.trunc(day, "year")]
-    narrow = changes.select(key, day, *attrs)
-    # Later steps work on fewer rows of the same keys, so one look is enough.
-    hot_rows = hot_rows if any_hot(narrow, [key], hot_rows) else None
-    seen = neighbour(narrow, [key], [day], segment, [F.lit(True).alias("seen"), *attrs], "_before", hot_rows=hot_rows)
+    seen = neighbour(changes.select(key, day, *attrs), [key], [day], [F.lit(True).alias("seen"), *attrs], "_before")
     same = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col("_before")[a]) for a in attrs])
     starts = seen.filter(F.col("_before").isNull() | ~same).drop("_before")
-    spans = neighbour(starts, [key], [day], segment, [day], "_next", following=True, hot_rows=hot_rows)
+    spans = neighbour(starts, [key], [day], [day], "_next", following=True)
     out = spans.select(
         key,
         *attrs,
@@ -96,8 +90,6 @@ def asof_dim(
     key: str,
     day: str,
     attrs: list[str],
-    segment: list[Column] | None = None,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """The dimension version valid on the fact's day; NULL attributes when there is none.
 
@@ -108,13 +100,11 @@ def asof_dim(
     version = F.struct("valido_ate", *attrs)
     kind = "struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in fact.schema) + ">"
     shape = dim.select(version.alias("v")).schema["v"].dataType
-    facts = fact.select(F.col(key).alias("_key"), F.col(day).alias("_day"), F.lit(1).alias("_kind"), row.alias("_fact"), F.lit(None).cast(shape).alias("_version"))
+    facts = fact.select(F.col(key).alias("_of"), F.col(day).alias("_day"), F.lit(1).alias("_kind"), row.alias("_fact"), F.lit(None).cast(shape).alias("_version"))
     versions = dim.select(
-        F.col(key).alias("_key"), F.col("valido_de").alias("_day"), F.lit(0).alias("_kind"), F.lit(None).cast(kind).alias("_fact"), version.alias("_version")
-    )
-    merged = last_known(
-        facts.unionByName(versions), ["_key"], ["_day", "_kind"], segment or [F.trunc("_day", "month")], "_version", "_valid", hot_rows
+        F.col(key).alias("_of"), F.col("valido_de").alias("_day"), F.lit(0).alias("_kind"), F.lit(None).cast(kind).alias("_fact"), version.alias("_version")
     )
+    merged = last_known(facts.unionByName(versions), ["_of"], ["_day", "_kind"], "_version", "_valid")
     valid = F.col("_valid")
     inside = F.col("_day") < valid["valido_ate"]
     return merged.filter("_kind = 1").select("_fact.*", *[F.when(inside, valid[a]).alias(a) for a in attrs])

@@ -17,6 +17,29 @@ def size_checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str
     return left.join(right, on, how)
 
 
+def reference_join(left: DataFrame, right: DataFrame, key: str, other: str, spread: str) -> DataFrame:
+    """Left join of rows to the one row that ``key`` refers to, on ``other``; a missing key refers to nothing.
+
+    Rows without a key would all be shuffled to one task. They travel by the hash of ``spread`` instead, and can't match.
+    """
+    kind = right.schema[other].dataType
+    place = F.coalesce(F.col(key).cast(kind), F.xxhash64(spread).cast(kind))
+    return left.join(right, (place == F.col(other)) & F.col(key).isNotNull(), "left")
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = 16) -> DataFrame:
+    """Join that splits every key of a large left side into ``salts`` parts, dealt by the rows' other columns.
+
+    The right side comes ``salts`` times, so it is for a right side that is much smaller than the left. Rows of a key that
+    are equal in all columns stay together; rows without a key are spread and match nothing.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
 def _single(df: DataFrame, on: list[str], side: str) -> DataFrame:
     """One row per key; the job fails as soon as a key has two.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quartzo.operators.hot import HOT_ROWS, numbered, width_segment
+from quartzo.operators.scan import number
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -41,16 +41,9 @@ def priority_dedupe(df: DataFrame, keys: list[str], priority: list[Column]) -> D
     return first_per_key(df, keys, priority + rest)
 
 
-def occurrence(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    name: str = "ocorrencia",
-    segment: list[Column] | None = None,
-    hot_rows: int | None = HOT_ROWS,
-) -> DataFrame:
-    """1 for the first row of a key, 2 and more for its repeats."""
-    return numbered(df, keys, order, segment or [F.col(order[0])], name, hot_rows)
+def occurrence(df: DataFrame, keys: list[str], order: list[str], name: str = "ocorrencia") -> DataFrame:
+    """1 for the first row of a key, 2 and more for its repeats; remaining columns break ties."""
+    return number(df, keys, order, name)
 
 
 def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,38 +51,6 @@ def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("vezes")).filter("vezes > 1")
 
 
-def surrogate_key(
-    df: DataFrame,
-    natural: str,
-    name: str,
-    pieces: int = 1024,
-    piece: Column | None = None,
-    small_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Dense 1..N by a unique natural key.
-
-    A small table is numbered in one task. In a larger one rows are numbered inside a
-    piece of the key's range; the start of each piece comes from a count per piece (at
-    most ``pieces`` rows, broadcast). A key that is no number needs its own ``piece``,
-    non-decreasing in the key, such as a prefix.
-    """
-    if df.count() <= small_rows:
-        return df.select(F.row_number().over(Window.orderBy(natural)).cast("bigint").alias(name), *df.columns)
-    numeric = piece is None
-    cut = df.withColumn("_piece", width_segment(df, natural, pieces) if numeric else piece)
-    sizes = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select(
-        F.col("_piece").alias("_of"),
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy(F.col("_piece").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_start"),
-    )
-    if numeric:
-        starts = F.broadcast(starts)
-    inside = F.row_number().over(Window.partitionBy("_piece").orderBy(natural))
-    return (
-        cut.withColumn("_inside", inside)
-        .join(starts, F.col("_piece").eqNullSafe(F.col("_of")))
-        .select((F.col("_inside") + F.col("_start")).cast("bigint").alias(name), *df.columns)
-    )
+def surrogate_key(df: DataFrame, natural: str, name: str) -> DataFrame:
+    """Dense 1..N by a unique natural key of any sortable type, numbered range by range."""
+    return number(df, [], [natural], name).select(name, *df.columns)

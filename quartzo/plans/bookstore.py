@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quartzo.functions.columns import money, to_cents
 from quartzo.operators.keys import surrogate_key
-from quartzo.operators.hot import HOT_ROWS, numbered
 from quartzo.operators.quality import Rule
+from quartzo.operators.scan import number
 from quartzo.operators.stock import settle
 from quartzo.plans.storefront import GHOST, Storefront, every
 
@@ -47,15 +47,14 @@ def requests(shop: Storefront) -> DataFrame:
 ORDER = ["dia", "pedido", "linha", "vendedor", "quantidade", "centavos", "desconto", "imposto"]
 
 
-def in_turn(df: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def in_turn(df: DataFrame) -> DataFrame:
     """Number the requests of each book in the order they came."""
-    segment = [F.trunc("dia", "month"), F.col("dia")]
-    return numbered(df, ["livro_id"], ORDER, segment, "vez", hot_rows)
+    return number(df, ["livro_id"], ORDER, "vez")
 
 
-def settle_requests(df: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def settle_requests(df: DataFrame, stock: DataFrame) -> DataFrame:
     on_hand = stock.select(F.col("id").alias("livro_id"), "estoque")
-    return settle(in_turn(df, hot_rows), on_hand, "livro_id", "vez", "quantidade", hot_rows=hot_rows)
+    return settle(in_turn(df), on_hand, "livro_id", "vez", "quantidade")
 
 
 def append_books(existing: DataFrame, new: DataFrame, order: str) -> DataFrame:

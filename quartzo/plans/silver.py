@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from quartzo.functions import columns as c
 from quartzo.functions.domains import CATEGORIES, SHIPMENT_STATUSES
 from quartzo.operators import quality
-from quartzo.operators.hot import HOT_ROWS
-from quartzo.operators.joins import domain_join
+from quartzo.operators.joins import domain_join, reference_join
 from quartzo.operators.keys import latest_version, occurrence
 from quartzo.operators.quality import Rule
 
@@ -78,7 +77,7 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
     return last.select("item_id", "order_id", "product_id", "quantity", price)
 
 
-def event_base(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def event_base(events: DataFrame) -> DataFrame:
     """Cast and fold event columns; number the copies of each event."""
     extra = [x for x in ("injected_issue",) if x in events.columns]
     counted = occurrence(
@@ -88,8 +87,6 @@ def event_base(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
         ),
         ["event_id"],
         ["_source_file", "event_at"],
-        segment=[F.col("_source_file"), F.substring("event_at", 1, 13)],
-        hot_rows=hot_rows,
     )
     return counted.select(
         "event_id", "session_id", "customer_id", "product_id", "order_id",
@@ -114,11 +111,9 @@ def event_rules() -> list[Rule]:
     ]
 
 
-def check_events(
-    events: DataFrame, customers: DataFrame, products: DataFrame, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def check_events(events: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Events with ``motivos``; empty text means approved. Parents must have unique keys."""
-    return _with_reasons(event_base(events, hot_rows), customers, products)
+    return _with_reasons(event_base(events), customers, products)
 
 
 def recheck_events(rejected: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -127,9 +122,8 @@ def recheck_events(rejected: DataFrame, customers: DataFrame, products: DataFram
 
 
 def _with_reasons(base: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    with_parents = base.join(
-        customers.select(F.col("customer_id").alias("_customer")), F.col("customer_id") == F.col("_customer"), "left"
-    ).join(products.select(F.col("product_id").alias("_product")), F.col("product_id") == F.col("_product"), "left")
+    with_parents = reference_join(base, customers.select(F.col("customer_id").alias("_customer")), "customer_id", "_customer", "event_id")
+    with_parents = reference_join(with_parents, products.select(F.col("product_id").alias("_product")), "product_id", "_product", "event_id")
     return quality.check(with_parents, event_rules()).drop("_customer", "_product")
 
 
@@ -142,10 +136,9 @@ def quarantine(checked: DataFrame, run_ts: datetime | Column) -> DataFrame:
     return quality.rejected(checked).withColumn("quarantined_at", stamp)
 
 
-def check_catalog(catalog: DataFrame, suppliers: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def check_catalog(catalog: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Catalogue rows: spelling of the category is corrected, the rest is checked."""
-    order = ["_source_file"]
-    numbered = occurrence(catalog, ["product_id"], order, segment=[F.col("_source_file")], hot_rows=hot_rows)
+    numbered = occurrence(catalog, ["product_id"], ["_source_file"])
     spelled = domain_join(numbered.withColumnRenamed("category", "category_raw"), "category_raw", CATEGORIES, "category")
     typed = spelled.select(
         c.number_or_null("product_id", "bigint").alias("product_id"),

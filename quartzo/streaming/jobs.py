@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartzo.operators import quality
-from quartzo.operators.hot import HOT_ROWS
 from quartzo.operators.keys import latest_version
 from quartzo.operators.profile import stacked
 from quartzo.operators.stock import settle, stock_after
@@ -95,7 +94,6 @@ def quality_split(
     out: str,
     checkpoint: str,
     run_ts: datetime,
-    hot_rows: int = HOT_ROWS,
 ) -> None:
     """Silver and quarantine per batch; copies of events from earlier batches are duplicates too."""
     spark = stream.sparkSession
@@ -104,7 +102,7 @@ def quality_split(
     def each(df: DataFrame, batch: int) -> None:
         seen = _stored(spark, f"{out}/seen", "event_id bigint, n bigint").filter(F.col(BATCH) < batch)
         before = seen.groupBy("event_id").agg(F.sum("n").alias("_before"))
-        base = silver.event_base(df, hot_rows)
+        base = silver.event_base(df)
         base = base.join(before, "event_id", "left")
         base = base.withColumn("ocorrencia", F.col("ocorrencia") + F.coalesce("_before", F.lit(0))).drop("_before")
         # Both outputs come from one stored result, so the checks run once.
@@ -118,7 +116,7 @@ def quality_split(
 
 
 def sales(
-    stream: DataFrame, stock: DataFrame, key: str, seq: str, qty: str, out: str, checkpoint: str, hot_rows: int = HOT_ROWS
+    stream: DataFrame, stock: DataFrame, key: str, seq: str, qty: str, out: str, checkpoint: str
 ) -> None:
     """Settle requests as they arrive; each batch starts from the stock the one before left."""
     spark = stream.sparkSession
@@ -130,7 +128,7 @@ def sales(
         now = stock.select(key, F.col("estoque").cast("bigint").alias("estoque"))
         if last is not None:
             now = spark.read.parquet(f"{out}/stock/{BATCH}={last}")
-        _store(settle(df, now, key, seq, qty, hot_rows=hot_rows), f"{out}/decided", batch)
+        _store(settle(df, now, key, seq, qty), f"{out}/decided", batch)
         decided = spark.read.parquet(f"{out}/decided/{BATCH}={batch}")
         _store(stock_after(now, decided, key, qty), f"{out}/stock", batch)
 

@@ -1,4 +1,4 @@
-"""The segmented ways must equal brute force, with one key holding a third of the rows."""
+"""Keys, stock, history and medians must equal brute force, with one key holding a third of the rows."""
 
 import datetime
 import random
@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from quartzo.operators import changes, hot, keys, median, stock
+from quartzo.operators import changes, joins, keys, median, stock
 
 
 def skewed(n=600, seed=1):
@@ -20,78 +20,33 @@ def skewed(n=600, seed=1):
     return out
 
 
-def fives():
-    return [F.expr("t div 5")]
-
-
 @pytest.fixture(scope="module")
 def frame(spark):
     return spark.createDataFrame(skewed(), "k int, t int, u int, v int").repartition(5).cache()
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1_000_000, 50, 3])
-def test_numbered(frame, hot_rows):
-    got = hot.numbered(frame, ["k"], ["t", "u"], fives(), "n", hot_rows).collect()
-    expected = {}
-    for k, t, u, v in sorted(skewed()):
-        expected[(k, t, u, v)] = 1 + sum(1 for a in skewed() if a[0] == k and (a[1], a[2]) < (t, u))
-    assert {(r.k, r.t, r.u, r.v): r.n for r in got} == expected
-    assert len(got) == 600
-
-
-def test_numbered_spreads_exact_copies(spark, monkeypatch):
-    monkeypatch.setattr(hot, "COPY_CHUNK", 4)
-    df = spark.createDataFrame([(1, 5, "a")] * 37 + [(1, 2, "b")] * 3 + [(1, 9, "c"), (None, 1, "d")], "k int, t int, s string")
-    got = sorted((r.k or 0, r.n, r.s) for r in hot.numbered(df, ["k"], ["t"], [F.col("t")], "n", hot_rows=10).collect())
-    assert got == [(0, 1, "d")] + [(1, i + 1, s) for i, s in enumerate(["b"] * 3 + ["a"] * 37 + ["c"])]
-
-
-@pytest.mark.parametrize("hot_rows", [None, 50])
-def test_running_sum(frame, hot_rows):
-    got = hot.running_sum(frame, ["k"], ["t", "u"], fives(), "v", "s", hot_rows).collect()
-    data = skewed()
-    for r in got:
-        assert r.s == sum(a[3] for a in data if a[0] == r.k and (a[1], a[2]) <= (r.t, r.u))
-    assert len(got) == len(data)
-
-
-@pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("hot_rows", [None, 50])
-def test_neighbour(frame, following, hot_rows):
-    got = hot.neighbour(frame, ["k"], ["t", "u"], fives(), ["v"], "near", following, hot_rows).collect()
-    by = {}
-    for a in sorted(skewed(), key=lambda a: (a[1], a[2])):
-        by.setdefault(a[0], []).append(a)
-    for r in got:
-        line = by[r.k]
-        at = line.index((r.k, r.t, r.u, r.v)) + (1 if following else -1)
-        assert (r.near.v if r.near else None) == (line[at][3] if 0 <= at < len(line) else None)
-
-
-@pytest.mark.parametrize("hot_rows", [None, 50])
-def test_last_known(spark, frame, hot_rows):
-    gaps = frame.withColumn("w", F.when(F.col("v") % 4 == 0, F.col("v")))
-    got = hot.last_known(gaps, ["k"], ["t", "u"], fives(), "w", "last", hot_rows).collect()
-    for r in got:
-        known = [(a[1], a[2], a[3]) for a in skewed() if a[0] == r.k and (a[1], a[2]) <= (r.t, r.u) and a[3] % 4 == 0]
-        assert r.last == (max(known)[2] if known else None)
-
-
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_hot_left_join(spark, frame, rows, how):
+def test_salted_join(spark, frame, rows, how):
     left = frame.withColumn("k", F.when(F.col("u") % 11 != 0, F.col("k")))
-    right = spark.createDataFrame([(i, f"name {i}") for i in range(0, 40, 2)] + [(7, "hot")], "k int, name string")
-    got = hot.hot_left_join(left, right, ["k"], how, hot_rows=50)
+    right = spark.createDataFrame([(i, f"name {i}") for i in range(0, 40, 2)] + [(7, "hot"), (None, "none")], "k int, name string")
+    got = joins.salted_join(left, right, ["k"], how, salts=5)
     expected = left.join(right, "k", how)
-    assert rows(got.select(expected.columns)) == rows(expected)
+    assert got.columns == expected.columns and rows(got) == rows(expected)
+
+
+def test_reference_join_spreads_missing_keys(spark, rows):
+    left = spark.createDataFrame([(i, None if i % 3 else i % 7) for i in range(600)] + [(None, None)], "id bigint, ref bigint")
+    right = spark.createDataFrame([(i,) for i in range(5)], "other bigint")
+    got = joins.reference_join(left, right, "ref", "other", "id")
+    assert rows(got) == rows(left.join(right, F.col("ref") == F.col("other"), "left"))
 
 
-def test_surrogate_key_in_pieces(spark):
-    values = random.Random(3).sample(range(-(10**6), 10**9), 500)
+def test_surrogate_key(spark):
+    values = [10**15, *random.Random(3).sample(range(-(10**6), 10**9), 500)]
     df = spark.createDataFrame([(v, str(v)) for v in values], "id bigint, s string").repartition(7)
-    got = {r.id: r.sk for r in keys.surrogate_key(df, "id", "sk", pieces=16, small_rows=10).collect()}
-    assert got == {v: i + 1 for i, v in enumerate(sorted(values))}
-    by_text = keys.surrogate_key(df, "s", "sk", piece=F.substring("s", 1, 2), small_rows=10).collect()
+    got = keys.surrogate_key(df, "id", "sk")
+    assert got.columns == ["sk", "id", "s"] and {r.id: r.sk for r in got.collect()} == {v: i + 1 for i, v in enumerate(sorted(values))}
+    by_text = keys.surrogate_key(df, "s", "sk").collect()
     assert {r.s: r.sk for r in by_text} == {s: i + 1 for i, s in enumerate(sorted(str(v) for v in values))}
 
 
@@ -121,9 +76,9 @@ def brute_settle(requests, on_hand):
     return out, left
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20, 0])
+@pytest.mark.parametrize("in_task", [1_000_000, 20, 0])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_settle(spark, hot_rows, seed):
+def test_settle(spark, in_task, seed):
     r = random.Random(seed)
     on_hand = {b: r.choice([0, 1, 10, 57, 500, 3000]) for b in range(6)}
     requests = []
@@ -132,7 +87,7 @@ def test_settle(spark, hot_rows, seed):
             requests.append((book, seq, r.choice([0, 1, 2, 3, 8, 15, 16, 17, 40, 64, 100, 900])))
     df = spark.createDataFrame(requests, "livro bigint, vez bigint, qtd bigint").repartition(3)
     shelf = spark.createDataFrame(list(on_hand.items()), "livro bigint, estoque int")
-    decided = stock.settle(df, shelf, "livro", "vez", "qtd", hot_rows=hot_rows, chunk=7)
+    decided = stock.settle(df, shelf, "livro", "vez", "qtd", in_task=in_task)
     got = {(x.livro, x.vez): (x.motivo, x.estoque_antes) for x in decided.collect()}
     expected, left = brute_settle(requests, on_hand)
     assert got == expected
@@ -144,21 +99,20 @@ def test_order_matters(spark):
     """Stock 10, requests 5, 9, 4, 2: the refused 9 must not use stock."""
     df = spark.createDataFrame([(1, i, q) for i, q in enumerate([5, 9, 4, 2], 1)], "livro bigint, vez bigint, qtd bigint")
     shelf = spark.createDataFrame([(1, 10)], "livro bigint, estoque int")
-    for hot_rows in (1_000_000, 2):
-        decided = stock.settle(df, shelf, "livro", "vez", "qtd", hot_rows=hot_rows, chunk=2)
+    for in_task in (1_000_000, 2):
+        decided = stock.settle(df, shelf, "livro", "vez", "qtd", in_task=in_task)
         assert sorted(r.vez for r in stock.accepted(decided).collect()) == [1, 3]
         assert stock.stock_after(shelf, decided, "livro", "qtd").first().estoque == 1
 
 
-@pytest.mark.parametrize("hot_rows", [None, 40])
-def test_history_and_lookup(spark, hot_rows):
+def test_history_and_lookup(spark):
     r = random.Random(5)
     day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(days=n)
     seen = {}
     for i in range(400):
         seen[(7 if i % 3 == 0 else r.randrange(30), r.randrange(900))] = r.choice("abc")
     df = spark.createDataFrame([(k, day(d), s) for (k, d), s in seen.items()], "id bigint, dia date, seg string")
-    history = changes.scd2(df, "id", ["seg"], "dia", hot_rows=hot_rows)
+    history = changes.scd2(df, "id", ["seg"], "dia")
     got = {(x.id, x.valido_de): (x.seg, x.valido_ate, x.atual) for x in history.collect()}
     expected = {}
     for k in {k for k, _ in seen}:
@@ -170,7 +124,7 @@ def test_history_and_lookup(spark, hot_rows):
     assert got == expected
 
     facts = spark.createDataFrame([(i, 7 if i % 3 == 0 else r.randrange(35), day(r.randrange(950))) for i in range(300)], "f int, id bigint, quando date")
-    found = changes.asof_dim(facts, history, "id", "quando", ["seg"], hot_rows=hot_rows).collect()
+    found = changes.asof_dim(facts, history, "id", "quando", ["seg"]).collect()
     assert len(found) == 300
     for x in found:
         valid = [s for (k, start), (s, end, _) in expected.items() if k == x.id and start <= x.quando < end]
