@@ -4,45 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-FINAL_ROWS = 1_000_000
+from quartzo.operators.scan import running_sum
 
+#: A quantile of the sketch is at most 1/ACCURACY of all rows away from the true rank.
+ACCURACY = 10_000
 
-def exact_median(
-    df: DataFrame, value: str, name: str = "mediana", final_rows: int = FINAL_ROWS, pieces: int = 1024
-) -> DataFrame:
+
+def exact_median(df: DataFrame, value: str, name: str = "mediana", accuracy: int = ACCURACY) -> DataFrame:
     """One row with the interpolated median; NULL and NaN are left out.
 
-    The range that holds the middle rows is narrowed by counts per equal-width piece (at
-    most ``pieces`` rows reach the driver per pass) until few rows remain. Those are
-    grouped by value, so a value shared by many rows is one row.
+    Two reads: a quantile sketch gives two values that surely enclose the middle rows; then the rows between them are
+    counted by value, and all rows below them as one. What is left to sort is a few in ``accuracy`` of the rows, and a value
+    shared by many rows is one row.
     """
     v = F.col("v")
     rows = df.select(F.col(value).cast("double").alias("v")).filter(v.isNotNull() & ~F.isnan(v))
-    low, high, n = rows.agg(F.min(v), F.max(v), F.count(v)).first()
-    if n == 0:
+    margin = 2 / accuracy
+    around = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
+    n, ends = rows.agg(F.count(v), F.percentile_approx(v, around, accuracy)).first()
+    if not n:
         return rows.agg(F.max(v).alias(name))
-    first, second = (n + 1) // 2, (n + 2) // 2
-    before = 0
-    while n > final_rows and high > low:
-        step = (high - low) / pieces
-        if low + step == low:
-            break
-        piece = F.least(F.floor((v - F.lit(low)) / F.lit(step)), F.lit(pieces - 1))
-        counted = rows.groupBy(piece.alias("piece")).agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-        holding, seen = [], before
-        for part in counted.orderBy("piece").collect():
-            if seen < second and seen + part.n >= first:
-                holding.append((part, seen))
-            seen += part.n
-        if len(holding) == 2:
-            # The two middle rows lie on either side of a boundary.
-            return rows.agg(F.max(F.lit((holding[0][0].hi + holding[1][0].lo) / 2)).alias(name))
-        part, before = holding[0]
-        low, high, n = part.lo, part.hi, part.n
-        rows = rows.filter((v >= F.lit(low)) & (v <= F.lit(high)))
-    values = rows.groupBy(v).agg(F.count(F.lit(1)).alias("n"))
-    upto = values.withColumn("upto", F.lit(before) + F.sum("n").over(Window.orderBy("v")))
+    low, high = ends
+    counted = rows.filter(v <= high).groupBy(F.when(v >= low, v).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    upto = running_sum(counted, [], ["v"], "n", "upto")
     at = lambda rank: F.min(F.when(F.col("upto") >= rank, v))
-    return upto.agg(((at(first) + at(second)) / 2).alias(name))
+    return upto.agg(((at((n + 1) // 2) + at((n + 2) // 2)) / 2).alias(name))

@@ -50,13 +50,13 @@ def test_surrogate_key(spark):
     assert {r.s: r.sk for r in by_text} == {s: i + 1 for i, s in enumerate(sorted(str(v) for v in values))}
 
 
-@pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [3.0] * 50 + [1e12, -4.5], [float(i * i) for i in range(101)], [0.0] * 10 + [1e9] * 10])
-@pytest.mark.parametrize("final_rows", [1, 10, 10_000])
-def test_exact_median(spark, values, final_rows):
+@pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [3.0] * 50 + [1e12, -4.5], [float(i * i) for i in range(101)], [0.0] * 10 + [1e9] * 10, [2.0**-i for i in range(900)] + [3.0] * 899])
+@pytest.mark.parametrize("accuracy", [4, 20, 10_000])
+def test_exact_median(spark, values, accuracy):
     import statistics
 
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
-    assert median.exact_median(df, "v", final_rows=final_rows, pieces=4).first()[0] == pytest.approx(statistics.median(values))
+    assert median.exact_median(df, "v", accuracy=accuracy).first()[0] == pytest.approx(statistics.median(values))
 
 
 def test_median_of_nothing(spark):
