@@ -15,12 +15,13 @@ from quartzo.streaming import jobs
 TIMED = "event_id bigint, ts timestamp, event_type string"
 
 
-def timed_events(shop):
-    """Events as landing files with a zoned event time."""
+def timed_events(shop, files_per_batch=None):
+    """Events as landing files with a zoned event time; copies of some come in a later file."""
     path = scratch(shop.spark, "stream-in")
     events = shop.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    formats.write_parquet(events.unionByName(events.filter("event_id % 97 = 0")), path)
-    return path, jobs.landing_stream(shop.spark, path, TIMED, fmt="parquet")
+    formats.write_parquet(events, f"{path}/first")
+    formats.write_parquet(events.filter("event_id % 97 = 0"), f"{path}/late")
+    return path, jobs.landing_stream(shop.spark, path, TIMED, files_per_batch, fmt="parquet")
 
 
 @query("stream_bronze", BRONZE_SQL)
@@ -58,7 +59,7 @@ def stream_peak_alert(shop):
 
 @query("stream_dedup", "SELECT DISTINCT event_id FROM events")
 def stream_dedup(shop):
-    _, stream = timed_events(shop)
+    _, stream = timed_events(shop, 1)
     out = scratch(shop.spark, "stream-dedup")
     jobs.dedup(stream, "event_id", "ts", "40 days", out, scratch(shop.spark, "check"))
     return shop.spark.read.parquet(out).select("event_id")
@@ -66,8 +67,9 @@ def stream_dedup(shop):
 
 @query("stream_quality_split", "SELECT event_id, event_type, device, motivos FROM chk_events")
 def stream_quality_split(shop):
+    """A dozen files a batch: copies of an event meet only through its state."""
     lake = landed_events(shop)
-    stream = jobs.landing_stream(shop.spark, lake.path("landing", "events"), EVENT_SCHEMA)
+    stream = jobs.landing_stream(shop.spark, lake.path("landing", "events"), EVENT_SCHEMA, 20)
     out = scratch(shop.spark, "stream-quality")
     jobs.quality_split(stream, shop.customer_ids(), shop.product_ids(), lake.path("landing"), out, scratch(shop.spark, "check"), RUN)
     good = shop.spark.read.parquet(f"{out}/silver").select("event_id", "event_type", "device", F.lit("").alias("motivos"))
@@ -76,10 +78,12 @@ def stream_quality_split(shop):
 
 @query("stream_sales", "SELECT livro_id, vez, quantidade, motivo, estoque_antes FROM decisoes", recursive=True, **TURNS)
 def stream_sales(shop):
+    """Three batches, each with the turns that follow the one before."""
     source = scratch(shop.spark, "stream-requests")
     turns = bookstore.in_turn(bookstore.requests(shop)).select("livro_id", "vez", "quantidade")
-    formats.write_parquet(turns, source)
-    stream = jobs.landing_stream(shop.spark, source, "livro_id bigint, vez bigint, quantidade bigint", fmt="parquet")
+    for k, part in enumerate(("vez <= 8", "vez between 9 and 20", "vez > 20")):
+        formats.write_parquet(turns.filter(part).coalesce(1), f"{source}/{k}")
+    stream = jobs.landing_stream(shop.spark, source, "livro_id bigint, vez bigint, quantidade bigint", 1, fmt="parquet")
     stock = bookstore.books(shop).select(F.col("id").alias("livro_id"), "estoque")
     out = scratch(shop.spark, "stream-sales")
     jobs.sales(stream, stock, "livro_id", "vez", "quantidade", out, scratch(shop.spark, "check"))

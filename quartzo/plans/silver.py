@@ -77,9 +77,13 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
     return last.select("item_id", "order_id", "product_id", "quantity", price)
 
 
+#: Copies of an event that earlier batches of a stream had.
+EARLIER = "_earlier"
+
+
 def event_base(events: DataFrame) -> DataFrame:
     """Cast and fold event columns; number the copies of each event."""
-    extra = [x for x in ("injected_issue",) if x in events.columns]
+    extra = [x for x in ("injected_issue", EARLIER) if x in events.columns]
     counted = occurrence(
         events.select(
             "event_id", "session_id", "customer_id", "product_id", "order_id", "event_type", "event_at", "device", "source",

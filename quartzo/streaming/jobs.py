@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from quartzo.operators import quality
 from quartzo.operators.keys import latest_version
 from quartzo.operators.profile import stacked
-from quartzo.operators.stock import settle, stock_after
 from quartzo.plans import silver
 from quartzo.sources.files import relative_key
 from quartzo.sources.formats import write_parquet
+from quartzo.streaming import state
 
 BATCH = "_batch"
 
@@ -31,10 +31,11 @@ def landing_stream(spark: SparkSession, path: str, schema: str, files_per_batch:
     return reader.load(path)
 
 
-def run_available(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process everything that is there, batch by batch, then stop."""
+def run_available(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> list:
+    """Process everything that is there, batch by batch, then stop; returns the progress of the last batches."""
     job = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start()
     job.awaitTermination()
+    return job.recentProgress
 
 
 def _store(df: DataFrame, path: str, batch: int) -> None:
@@ -94,45 +95,31 @@ def quality_split(
     out: str,
     checkpoint: str,
     run_ts: datetime,
-) -> None:
-    """Silver and quarantine per batch; copies of events from earlier batches are duplicates too."""
+    keep_ms: int | None = None,
+) -> list:
+    """Silver and quarantine per batch; copies of events from earlier batches are duplicates too.
+
+    How often an event came before is kept in the state store, by event, and forgotten ``keep_ms`` after its last copy; no
+    batch reads what earlier ones wrote. Copies within the batch are numbered by the batch plan.
+    """
     spark = stream.sparkSession
     tagged = stream.withColumn("_source_file", relative_key(F.col("_metadata.file_path"), root))
 
     def each(df: DataFrame, batch: int) -> None:
-        seen = _stored(spark, f"{out}/seen", "event_id bigint, n bigint").filter(F.col(BATCH) < batch)
-        before = seen.groupBy("event_id").agg(F.sum("n").alias("_before"))
         base = silver.event_base(df)
-        base = base.join(before, "event_id", "left")
-        base = base.withColumn("ocorrencia", F.col("ocorrencia") + F.coalesce("_before", F.lit(0))).drop("_before")
+        base = base.withColumn("ocorrencia", F.col("ocorrencia") + F.col(silver.EARLIER)).drop(silver.EARLIER)
         # Both outputs come from one stored result, so the checks run once.
         _store(silver.recheck_events(base, customers, products), f"{out}/checked", batch)
         checked = spark.read.parquet(f"{out}/checked/{BATCH}={batch}")
         _store(silver.silver_events(checked), f"{out}/silver", batch)
         _store(silver.quarantine(checked, run_ts), f"{out}/quarantine", batch)
-        _store(checked.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")), f"{out}/seen", batch)
-
-    run_available(tagged, checkpoint, each)
 
+    return run_available(state.with_earlier(tagged, "event_id", silver.EARLIER, keep_ms), checkpoint, each)
 
-def sales(
-    stream: DataFrame, stock: DataFrame, key: str, seq: str, qty: str, out: str, checkpoint: str
-) -> None:
-    """Settle requests as they arrive; each batch starts from the stock the one before left."""
-    spark = stream.sparkSession
-    kind = dict(stock.dtypes)[key]
 
-    def each(df: DataFrame, batch: int) -> None:
-        versions = _stored(spark, f"{out}/stock", f"{key} {kind}, estoque bigint").filter(F.col(BATCH) < batch)
-        last = versions.agg(F.max(BATCH)).first()[0]
-        now = stock.select(key, F.col("estoque").cast("bigint").alias("estoque"))
-        if last is not None:
-            now = spark.read.parquet(f"{out}/stock/{BATCH}={last}")
-        _store(settle(df, now, key, seq, qty), f"{out}/decided", batch)
-        decided = spark.read.parquet(f"{out}/decided/{BATCH}={batch}")
-        _store(stock_after(now, decided, key, qty), f"{out}/stock", batch)
-
-    run_available(stream, checkpoint, each)
+def sales(stream: DataFrame, stock: DataFrame, key: str, seq: str, qty: str, out: str, checkpoint: str) -> list:
+    """Settle requests as they arrive; the stock left is kept in the state store, by key."""
+    return run_available(state.settled(stream, stock, key, seq, qty), checkpoint, lambda df, batch: _store(df, f"{out}/decided", batch))
 
 
 def alert_share(checked: DataFrame, max_pct: int) -> DataFrame:

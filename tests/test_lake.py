@@ -227,6 +227,32 @@ def test_stream_sales_carry_the_stock(spark, tmp_path):
     assert got == {(1, 1): None, (1, 2): low, (2, 1): low, (1, 3): None, (1, 4): low, (2, 2): None, (1, 5): None, (3, 1): "livro_inexistente"}
 
 
+def test_stream_state_keeps_a_batch_to_its_own_rows(spark, tmp_path):
+    """Fifteen batches and a restart: none reads more than its file and the state of its keys, and the stock is right."""
+    import random
+
+    rng, left, want = random.Random(4), {k: 60 for k in range(5)}, {}
+    source, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    shelf = spark.createDataFrame(list(left.items()), "livro bigint, estoque int")
+    for k in range(15):
+        lines = [(rng.randrange(6), 40 * k + i, rng.choice([None, 0, 1, 2, 5, 30])) for i in range(40)]
+        for book, seq, n in lines:
+            if book not in left:
+                want[(book, seq)] = ("livro_inexistente", None)
+            elif not n:
+                want[(book, seq)] = ("quantidade_invalida", None)
+            else:
+                want[(book, seq)] = (None if n <= left[book] else "estoque_insuficiente", left[book])
+                left[book] -= n if n <= left[book] else 0
+        spark.createDataFrame(lines, "livro bigint, vez bigint, qtd bigint").coalesce(1).write.parquet(f"{source}/{k:02d}")
+        if k in (8, 14):
+            stream = jobs.landing_stream(spark, source, "livro bigint, vez bigint, qtd bigint", files_per_batch=1, fmt="parquet")
+            for batch in jobs.sales(stream, shelf, "livro", "vez", "qtd", out, check):
+                assert batch["numInputRows"] in (0, 40) and batch["stateOperators"][0]["numRowsTotal"] <= 6
+    got = {(r.livro, r.vez): (r.motivo, r.estoque_antes) for r in spark.read.parquet(f"{out}/decided").collect()}
+    assert got == want and spark.read.parquet(f"{out}/decided").select("_batch").distinct().count() == 15
+
+
 def test_validation_needs_all_checks(spark):
     ok = spark.createDataFrame([("a", True, "")], "verificacao string, ok boolean, detalhe string")
     validate.require(ok)
