@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             stages[args.stage]()
     elif args.command == "inspect":
-        spark.read.parquet(flow.lake.path(args.layer, args.dataset)).show(args.limit, truncate=False)
+        flow.lake.read(args.layer, args.dataset).show(args.limit, truncate=False)
     elif args.command == "quality-report":
         flow.quality_report().show(truncate=False)
         flow.reasons().orderBy("fonte", "motivo").show(100, truncate=False)

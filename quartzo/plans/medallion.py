@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -47,17 +49,22 @@ SOURCES = {
     ),
 }
 CHECKED = ("catalog", "inventory", "shipments", "events")
+TABLES = ("dim_data", "dim_cliente", "dim_produto", "dim_campanha", "fato_vendas", "fato_eventos", "fato_entregas")
 
 
 class Medallion:
-    """Stages of a run over one lake; each can be repeated and replaces its own output."""
+    """Stages of a run over one lake; each can be repeated and publishes a new version of its output.
 
-    def __init__(self, spark: SparkSession, base: str, run_ts: datetime, database: str = "gold", max_quarantine_pct: int = 10):
+    ``max_quarantine_pct``: share of records set apart that blocks a run, one figure or one for each checked dataset.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, run_ts: datetime, database: str = "gold", max_quarantine_pct: int | dict[str, int] = 10):
         self.spark = spark
         self.lake = Lake(spark, base)
         self.run_ts = run_ts
         self.database = database
-        self.max_pct = max_quarantine_pct
+        limits = max_quarantine_pct
+        self.max_pct = {n: limits.get(n, 10) if isinstance(limits, dict) else limits for n in CHECKED}
 
     def landing(self, dataset: str) -> DataFrame:
         source = SOURCES[dataset]
@@ -90,10 +97,10 @@ class Medallion:
             "order_items": silver.stg_order_items(self._bronze("order_items", updated_at="utc")),
         }
 
-    def silver(self) -> list:
-        """Parents first; the checked datasets are gated before anything of them is written."""
+    def _stage_silver(self) -> None:
+        """Parents first; all checked datasets pass the gate before any table is published."""
         for name, df in self._plain().items():
-            self.lake.write(df, "silver", name)
+            self.lake.stage(df, "silver", name)
         parent = lambda n: self.lake.read("silver", n)
         checks = {
             "catalog": silver.check_catalog(self._bronze("catalog"), parent("suppliers")),
@@ -101,14 +108,30 @@ class Medallion:
             "shipments": silver.check_shipments(self._bronze("shipments", promised_at="date"), parent("orders")),
             "events": silver.check_events(self._bronze("events"), parent("customers"), parent("products")),
         }
-        checked = {name: cut_lineage(df) for name, df in checks.items()}
-        quality.gate(checked["events"], F.col("_source_file"), self.max_pct)
-        for name, df in checked.items():
-            good = silver.silver_events(df) if name == "events" else quality.approved(df)
-            self.lake.write(good, "silver", name, ["event_date"] if name == "events" else None)
-            self.lake.write(silver.quarantine(df, self.run_ts), "quarantine", name)
+        for name, df in checks.items():
+            checked = cut_lineage(df)
+            # events are judged file by file, the others as a whole
+            quality.gate(checked, F.col("_source_file") if name == "events" else F.lit(name), self.max_pct[name])
+            good = silver.silver_events(checked) if name == "events" else quality.approved(checked)
+            self.lake.stage(good, "silver", name, ["event_date"] if name == "events" else None)
+            self.lake.stage(silver.quarantine(checked, self.run_ts), "quarantine", name)
+
+    def silver(self) -> list:
+        """Silver and quarantine; what the gate blocks is never seen."""
+        with self._published():
+            self._stage_silver()
         return self.quality_report().collect()
 
+    @contextmanager
+    def _published(self) -> Iterator[None]:
+        """Publish what was staged in the block; if it fails, nothing."""
+        try:
+            yield
+        except BaseException:
+            self.lake.discard()
+            raise
+        self.lake.publish()
+
     def quality_report(self) -> DataFrame:
         """Per checked dataset, from what was written."""
         parts = []
@@ -123,15 +146,26 @@ class Medallion:
             [quality.reason_counts(self.lake.read("quarantine", n)).select(F.lit(n).alias("fonte"), "*") for n in CHECKED]
         )
 
-    def gold(self) -> dict[str, DataFrame]:
+    def _stage_gold(self) -> None:
         approved = {n: self.lake.read("silver", n) for n in SOURCES}
-        tables = {n: d for n, d in gold.build(approved).items() if n not in gold.MARTS}
-        return warehouse.publish(self.spark, tables, self.database, self.lake.path("gold"))
+        for name, df in gold.build(approved).items():
+            if name not in gold.MARTS:
+                self.lake.stage(df, "gold", name)
+
+    def gold(self) -> dict[str, DataFrame]:
+        """Dimensions and facts; marts are views over them."""
+        with self._published():
+            self._stage_gold()
+        return self.register()
+
+    def register(self) -> dict[str, DataFrame]:
+        """The published tables under their names in the database."""
+        places = {n: self.lake.location("gold", n) for n in TABLES}
+        return warehouse.register(self.spark, places, self.database, self.lake.path("gold"))
 
     def tables(self) -> dict[str, DataFrame]:
-        """Gold as stored by an earlier run."""
-        names = ("dim_data", "dim_cliente", "dim_produto", "dim_campanha", "fato_vendas", "fato_eventos", "fato_entregas")
-        stored = {n: self.spark.read.parquet(self.lake.path("gold", n)) for n in names}
+        """Gold as staged by this run, or else as published."""
+        stored = {n: self.lake.read("gold", n) for n in TABLES}
         return {**stored, **gold.marts(stored)}
 
     def validate(self) -> DataFrame:
@@ -144,10 +178,13 @@ class Medallion:
         )
 
     def run(self) -> list:
-        """All stages in order; a failed check leaves the run unfinished."""
+        """Write, check, publish: all of Silver, quarantine and Gold become visible together, or a failed check leaves
+        every published table as it was."""
         self.bronze()
-        self.silver()
-        self.gold()
-        results = cut_lineage(self.validate())
-        validate.require(results)
+        with self._published():
+            self._stage_silver()
+            self._stage_gold()
+            results = cut_lineage(self.validate())
+            validate.require(results)
+        self.register()
         return results.collect()

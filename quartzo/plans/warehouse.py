@@ -38,6 +38,20 @@ def publish(
     return saved
 
 
+def register(spark: SparkSession, places: dict[str, str], database: str, location: str) -> dict[str, DataFrame]:
+    """Name tables that are stored already, and the mart views over them."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    tables = {}
+    for name, place in places.items():
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{place}'")
+        tables[name] = spark.table(f"{database}.{name}")
+    for name, builder in MARTS.items():
+        tables[name] = builder(tables)
+        tables[name].createOrReplaceTempView(name)
+    return tables
+
+
 def objects(spark: SparkSession, database: str) -> DataFrame:
     """Tables of the database and its mart views, by name; one row per object."""
     found = {(t.name, "VIEW" if t.isTemporary else "TABLE") for t in spark.catalog.listTables(database)}

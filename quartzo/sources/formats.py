@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,20 +18,25 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return reader.csv(path)
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def based(reader: DataFrameReader, root: str | None) -> DataFrameReader:
+    """Columns in the names of folders below ``root`` are kept when single files are listed."""
+    return reader.option("basePath", root) if root else reader
+
+
+def read_csv_text(spark: SparkSession, path: str | list[str], root: str | None = None) -> DataFrame:
     """CSV with every value kept as text, so no value can break the load."""
-    return spark.read.option("header", True).csv(path)
+    return based(spark.read, root).option("header", True).csv(path)
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, root: str | None = None) -> DataFrame:
     """One JSON object per line; dates stay text unless ``schema`` says otherwise."""
-    reader = spark.read
+    reader = based(spark.read, root)
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, root: str | None = None) -> DataFrame:
     """Files that each hold one JSON array; parallel across files."""
-    reader = spark.read.option("multiLine", True)
+    reader = based(spark.read, root).option("multiLine", True)
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
