@@ -15,8 +15,8 @@ from quartzo.session import cut_lineage, scratch
 from quartzo.sources import formats
 
 
-def silver_tables(shop: Storefront) -> dict:
-    """Approved Silver frames, parents before children."""
+def silver_tables(shop: Storefront, checked=None) -> dict:
+    """Approved Silver frames, parents before children; ``checked``: events that were checked already."""
     customers, suppliers = silver.stg_customers(shop.customers()), silver.stg_suppliers(shop.suppliers())
     products, orders = silver.stg_products(shop.products()), silver.stg_orders(shop.orders())
     return {
@@ -30,7 +30,7 @@ def silver_tables(shop: Storefront) -> dict:
         "catalog": quality.approved(silver.check_catalog(shop.catalog(), suppliers)),
         "inventory": quality.approved(silver.check_inventory(shop.inventory())),
         "shipments": quality.approved(silver.check_shipments(shop.shipments(), orders)),
-        "events": silver.silver_events(silver.check_events(shop.events(), customers, products)),
+        "events": silver.silver_events(silver.check_events(shop.events(), customers, products) if checked is None else checked),
     }
 
 
@@ -279,7 +279,8 @@ def no_orphan_keys(shop):
 
 @query(
     "approved_revenue_valid_only",
-    """SELECT 'receita_somente_pedidos_validos' AS verificacao, true AS ok,
+    """SELECT 'receita_somente_pedidos_validos' AS verificacao,
+       (SELECT CAST(sum(valor_bruto) AS DECIMAL(18,2)) FROM vendas_validas) = (SELECT CAST(sum(receita) AS DECIMAL(18,2)) FROM mart_receita) AS ok,
        (SELECT CAST(sum(valor_bruto) AS DECIMAL(18,2)) FROM vendas_validas) || ' = ' || (SELECT CAST(sum(receita) AS DECIMAL(18,2)) FROM mart_receita) AS detalhe""",
 )
 def approved_revenue_valid_only(shop):
@@ -290,23 +291,32 @@ def approved_revenue_valid_only(shop):
 
 @query(
     "validate_all",
-    """SELECT unnest(['bronze_preserva_landing', 'bronze_igual_silver_mais_quarentena', 'silver_sem_event_id_repetido', 'grao_fato_vendas',
-       'chaves_dimensoes_unicas', 'fatos_sem_chaves_orfas', 'receita_somente_pedidos_validos']) AS verificacao, true AS ok""",
+    """SELECT 'bronze_preserva_landing' AS verificacao, (SELECT count(*) FROM events) <= count(*) AS ok FROM raw_events
+       UNION ALL SELECT 'bronze_igual_silver_mais_quarentena', (SELECT count(*) FROM raw_events) = count(*) FILTER (WHERE motivos = '') + count(*) FILTER (WHERE motivos <> '') FROM chk_events
+       UNION ALL SELECT 'silver_sem_event_id_repetido', count(*) = count(DISTINCT event_id) FROM silver_events
+       UNION ALL SELECT 'grao_fato_vendas', count(*) = count(DISTINCT item_id) FROM fato_vendas
+       UNION ALL SELECT 'chaves_dimensoes_unicas', (SELECT count(*) = count(DISTINCT sk_cliente) FROM dim_cliente) AND (SELECT count(*) = count(DISTINCT sk_produto) FROM dim_produto)
+         AND (SELECT count(*) = count(DISTINCT sk_campanha) FROM dim_campanha) AND (SELECT count(*) = count(DISTINCT sk_data) FROM dim_data)
+       UNION ALL SELECT 'fatos_sem_chaves_orfas', NOT EXISTS (SELECT 1 FROM fato_vendas ANTI JOIN dim_produto USING (sk_produto)) AND NOT EXISTS (SELECT 1 FROM fato_vendas ANTI JOIN dim_cliente USING (sk_cliente))
+         AND NOT EXISTS (SELECT 1 FROM fato_eventos ANTI JOIN dim_cliente USING (sk_cliente)) AND NOT EXISTS (SELECT 1 FROM (SELECT sk_data FROM fato_vendas UNION SELECT sk_data FROM fato_eventos UNION SELECT sk_data FROM fato_entregas) ANTI JOIN dim_data USING (sk_data))
+       UNION ALL SELECT 'receita_somente_pedidos_validos', (SELECT CAST(sum(valor_bruto) AS DECIMAL(18,2)) FROM vendas_validas) = (SELECT CAST(sum(receita) AS DECIMAL(18,2)) FROM mart_receita)""",
 )
 def validate_all(shop):
-    """Gold is written once, then checked, as in a full run."""
-    checked = checked_events(shop)
-    path = scratch(shop.spark, "checked")
-    formats.write_parquet(checked, path)
-    stored = shop.spark.read.parquet(path)
-    parts = silver_tables(shop)
-    parts["events"] = silver.silver_events(stored)
+    """Over a run's own files: events land, go to Bronze, are checked and split; Gold is written; then all is read back."""
+    from quartzo.catalog.lake import EVENT_SCHEMA, RUN, landed_events
+    from quartzo.sources import lake as layers
+
+    lake = landed_events(shop)
+    bronze = layers.bronze(shop.spark, lake, "events", "jsonl", RUN, EVENT_SCHEMA)
+    checked = cut_lineage(silver.check_events(bronze, shop.customer_ids(), shop.product_ids()))
+    parts = silver_tables(shop, checked)
+    parts["events"] = lake.stage(parts["events"], "silver", "events")
+    quarantine = lake.stage(silver.quarantine(checked, RUN), "quarantine", "events")
+    landing = layers.read_landing(shop.spark, lake.path("landing", "events"), "jsonl", EVENT_SCHEMA)
     with warehouse.database(shop.spark, "gold") as name:
         tables = warehouse.publish(shop.spark, {n: d for n, d in gold.build(parts).items() if n not in gold.MARTS}, name)
-        results = validate.validate_all(shop.events(), stored, parts["events"], quality.rejected(stored), tables)
-        out = scratch(shop.spark, "checks")
-        formats.write_parquet(results, out)
-    return shop.spark.read.parquet(out).select("verificacao", "ok")
+        results = cut_lineage(validate.validate_all(landing, bronze, parts["events"], quarantine, tables))
+    return results.select("verificacao", "ok")
 
 
 @query(

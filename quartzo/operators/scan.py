@@ -77,6 +77,12 @@ def ranges(df: DataFrame, keys: list[str], order: list[str | Column]) -> Ranges:
 def number(df: DataFrame, keys: list[str], order: list[str | Column], name: str, of: str | None = None) -> DataFrame:
     """1, 2, ... inside each key; without keys over all rows. ``of``: a column for the key's number of rows."""
     laid = ranges(df, keys, order)
+    if not keys:  # a row's place in its range and the sizes of the ranges before say it all
+        sizes = laid.rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+        ahead = F.coalesce(F.sum("_n").over(before(Window.orderBy("_range"))), F.lit(0))
+        sizes = sizes.select("_range", ahead.alias("_ahead"), F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_all"))
+        out = laid.rows.join(F.broadcast(sizes), "_range")
+        return out.select(*df.columns, (F.col("_at") + F.col("_ahead") + 1).cast("bigint").alias(name), *([F.col("_all").alias(of)] if of else []))
     here = F.struct(F.row_number().over(laid.inside).alias("n"), F.count(F.lit(1)).over(Window.partitionBy("_range", "_key")).alias("all"))
     ahead = lambda w: F.struct(F.coalesce(F.sum("_part").over(before(w)), F.lit(0)).alias("n"), F.sum("_part").over(Window.partitionBy("_key")).alias("all"))
     merge = lambda here, carry: F.struct(

@@ -148,9 +148,8 @@ class Medallion:
 
     def _stage_gold(self) -> None:
         approved = {n: self.lake.read("silver", n) for n in SOURCES}
-        for name, df in gold.build(approved).items():
-            if name not in gold.MARTS:
-                self.lake.stage(df, "gold", name)
+        tables = {name: df for name, df in gold.build(approved).items() if name not in gold.MARTS}
+        warehouse.side_by_side(lambda name, df: self.lake.stage(df, "gold", name), tables)
 
     def gold(self) -> dict[str, DataFrame]:
         """Dimensions and facts; marts are views over them."""

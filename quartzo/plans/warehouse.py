@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,12 @@ from quartzo.plans.gold import MARTS, NAMED
 from quartzo.session import scratch
 
 
+def side_by_side(save: Callable[[str, DataFrame], DataFrame], tables: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """Save tables that don't depend on each other as jobs that share the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(tables, pool.map(save, tables, tables.values())))
+
+
 def publish(
     spark: SparkSession, tables: dict[str, DataFrame], database: str, location: str | None = None, marts_as_views: bool = True
 ) -> dict[str, DataFrame]:
@@ -27,7 +34,7 @@ def publish(
         df.write.mode("overwrite").option("path", f"{location}/{name}").option("compression", "zstd").saveAsTable(f"{database}.{name}")
         return spark.table(f"{database}.{name}")
 
-    saved = {name: save(name, df) for name, df in tables.items() if name not in MARTS}
+    saved = side_by_side(save, {name: df for name, df in tables.items() if name not in MARTS})
     for name, builder in MARTS.items():
         mart = builder(saved)
         if marts_as_views:
