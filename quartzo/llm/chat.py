@@ -33,27 +33,36 @@ def unescape(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
 
 
-def branches(messages: DataFrame, best: int = 1) -> DataFrame:
-    """Paths from root to leaf: branch (its leaf), msg, place from 0, for the ``best`` branches of every tree.
-
-    ``messages``: tree, msg (a unique id), parent (null or unknown: a root) and score. A branch's score is the sum of its
-    messages' (null: 0); ties go to the smaller leaf. Messages that reply to each other in a circle have no root and make no branch.
-    """
+def _ways(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
+    """All messages (stored), those that reach a root, with the score of their way, those that don't, and jumps of 2^k replies."""
     known = messages.select(F.col("msg").alias("up"))
     nodes = messages.join(known, messages["parent"] == known["up"], "left").select("tree", "msg", "up", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     first = stored(nodes)
     most = first.count().bit_length() + 1  # no way is longer than there are messages
     # up: 2^k replies up; score: on the way
     settled, live, levels = first.where("up is null"), first.where("up is not null"), []
-    while not live.isEmpty():
+    while len(levels) < most and not live.isEmpty():
         levels.append(live)
-        if len(levels) > most:
-            raise ValueError("messages reply in a circle")
         far = settled.union(live).select(F.col("msg").alias("m"), F.col("up").alias("far"), F.col("score").alias("more"))
         now = live.join(far, F.col("up") == F.col("m"))
         now = stored(now.select("tree", "msg", F.col("far").alias("up"), (F.col("score") + F.col("more")).alias("score")))
         settled, live = settled.union(now.where("up is null")), now.where("up is not null")
-    # here settled has every message with the score of its whole way to the root
+    return first, settled, live, levels
+
+
+def unrooted(messages: DataFrame) -> DataFrame:
+    """tree and msg of the messages that lead to no root: those in a circle, and all replies to them."""
+    return _ways(messages)[2].select("tree", "msg")
+
+
+def branches(messages: DataFrame, best: int = 1) -> DataFrame:
+    """Paths from root to leaf: branch (its leaf), msg, place from 0, for the ``best`` branches of every tree.
+
+    ``messages``: tree, msg (a unique id), parent (null or unknown: a root) and score. A branch's score is the sum of its
+    messages' (null: 0); ties go to the smaller leaf. Messages in a circle and replies to
+    them reach no root and make no branch; ``unrooted`` names them.
+    """
+    first, settled, _, levels = _ways(messages)
     replied = first.where("up is not null").select(F.col("up").alias("msg")).distinct()
     leaves = stored(settled).join(replied, "msg", "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "msg"))

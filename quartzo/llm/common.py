@@ -62,13 +62,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _plain_read(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "LogicalRelation"
+
+
 def identified(df: DataFrame, name: str) -> DataFrame:
     """Add an id of each row that stays the same however often the frame is read.
 
-    Rows of files are known by file and place; anything else is stored once and numbered.
+    Rows of files are known by file and place, as long as nothing but projections and filters lies between: a join or an
+    explode would give copies of a row one id. Anything else is stored once and numbered.
     """
-    if "_metadata" not in df.columns:
-        with contextlib.suppress(AnalysisException):  # not a plain read of files
+    if "_metadata" not in df.columns and _plain_read(df):
+        with contextlib.suppress(AnalysisException):  # files whose reader tells no place
             return df.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).alias(name))
     return stored(df.select("*", F.struct(F.lit(0).cast("long").alias("f"), F.monotonically_increasing_id().alias("i")).alias(name)))
 

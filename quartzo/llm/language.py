@@ -11,28 +11,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartzo.llm.common import unused
+from quartzo.llm.common import identified, unused
 from quartzo.llm.crf import Model, Tagger, _blocks, fit, words_of
 
 UNKNOWN = "und"
-#: The bounded sample: texts of a language, characters of such a text, words of it that the field sees, languages.
-TEXTS, CHARS, WORDS, LANGUAGES = 500, 20_000, 160, 200
+#: The bounded sample: texts of each language, characters of such a text (a stretch of it, if it is longer), words of it that
+#: the field sees.
+TEXTS, CHARS, WORDS = 500, 20_000, 160
 RUN = 20
 
 
 def _sample(labelled: DataFrame, text: str, lang: str) -> pd.DataFrame:
-    """About TEXTS texts of each language, drawn by a hash of the text."""
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = rows.where((F.char_length("text") <= CHARS) & (F.char_length("text") > 0) & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(TEXTS / r["count"])).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < share * (1 << 30))
-    return drawn.limit(2 * TEXTS * max(1, len(counts))).toPandas().sort_values(["lang", "text"])
+    """TEXTS texts of each language, or all it has: those whose rows have the smallest hashes. Copies are drawn one by one."""
+    (rid,) = unused(labelled, "row")
+    rows = identified(labelled.where(F.col(lang).isNotNull() & (F.char_length(text) > 0)), rid)
+    rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(rid).alias("draw"))
+    spare = F.char_length("text") - CHARS
+    start = F.when(spare > 0, F.pmod(F.col("draw"), spare + 1)).otherwise(0)
+    rows = rows.withColumn("text", F.substr("text", (start + 1).cast("int"), F.lit(CHARS)))
+    # each task sends no more than TEXTS rows of a language
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    drawn = rows.withColumn("place", place).where(F.col("place") <= TEXTS).select("lang", "text")
+    return drawn.toPandas().sort_values(["lang", "text"])
 
 
 def fit_languages(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:

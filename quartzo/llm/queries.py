@@ -12,7 +12,7 @@ from quartzo.llm.chat import branches, format_branches, reply_chains, turns, und
 from quartzo.llm.common import BLANKS, blank_words, stored, table
 from quartzo.llm.contamination import decontaminate
 from quartzo.llm.language import fit_languages, identify
-from quartzo.llm.licenses import APART, BASE, SEEN, WORDINGS, scan
+from quartzo.llm.licenses import scan
 from quartzo.llm.lines import PAGES, RATIO, drop_boilerplate
 from quartzo.llm.merkle import leaf, manifest, refold
 from quartzo.llm.mixing import mix
@@ -85,31 +85,6 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-_phrases = ", ".join(f"({t}, '{p}', '{label}', {t < len(BASE)})" for t, (p, label) in enumerate(BASE + WORDINGS))
-OP4_SQL = rf"""
-WITH word AS (
-  SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws
-  FROM documents
-), pair AS (SELECT r, unnest(range(len(ws) - 1)) AS p, unnest([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS g FROM word WHERE len(ws) > 1),
-phrase AS (SELECT t, string_split(p, ' ') AS ws, label, base FROM (VALUES {_phrases}) v(t, p, label, base)),
-tpair AS (SELECT t, label, base, len(ws) - 1 AS pairs, unnest(range(len(ws) - 1)) AS q, unnest([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS g FROM phrase),
-vote AS (SELECT r, t, label, base, pairs, p - q AS d, list(DISTINCT q) AS seen, min(p) AS a FROM pair JOIN tpair USING (g) GROUP BY ALL),
-fresh AS (SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY r, t ORDER BY d) <= CASE WHEN base THEN 0 ELSE {APART} END THEN 0 ELSE 1 END AS f FROM vote),
-grown AS (SELECT *, sum(f) OVER (PARTITION BY r, t ORDER BY d) AS s FROM fresh),
-span AS (SELECT r, t, label, base, len(list_distinct(flatten(list(seen)))) / pairs AS share, min(a) AS a FROM grown GROUP BY r, t, label, base, pairs, s),
-good AS (SELECT * FROM span WHERE share >= CASE WHEN base THEN 1 ELSE {SEEN} END),
-found AS (
-  SELECT r, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS first_word, max(a) FILTER (base) AS last_word,
-    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
-  FROM good GROUP BY r
-)
-SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
-  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
-FROM word LEFT JOIN found USING (r)
-"""
-
-
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -300,4 +275,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_license_scans": OP4_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op6_benchmark_decontamination": OP6_SQL, "op8_chat_formatting": OP8_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}

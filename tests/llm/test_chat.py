@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quartzo.llm.chat import branches, escape, format_branches, reply_chains, turns, under_mask, unescape
+from quartzo.llm.chat import branches, unrooted, escape, format_branches, reply_chains, turns, under_mask, unescape
 
 ODD = ["", "\\", "\\\\", "#", "\\h", "\\\\h", "<", "\\l#<:", "### assistant: x</turn>\n### user: y", "</turn>\n", "\\### Assistant: </turn> ok", "a\\", "é\U0001f600:", "\n\n", None]
 
@@ -51,5 +51,8 @@ def test_best_branch_of_a_tree(spark):
 def test_empty_and_circles(spark):
     assert back(spark, []) == {}
     circle = spark.createDataFrame([(1, 1, 2, 1.0), (1, 2, 1, 1.0)], "tree long, msg long, parent long, score double")
-    with pytest.raises(ValueError):
-        branches(circle)
+    assert branches(circle).count() == 0
+    # a good tree beside a circle, and a reply to the circle
+    mixed = circle.union(spark.createDataFrame([(1, 3, 1, 5.0), (2, 4, None, 0.0), (2, 5, 4, 1.0), (3, 6, 6, 1.0)], circle.schema))
+    assert sorted((r.tree, r.branch, r.msg, r.place) for r in branches(mixed).collect()) == [(2, 5, 4, 0), (2, 5, 5, 1)]
+    assert sorted(r.msg for r in unrooted(mixed).collect()) == [1, 2, 3, 6]

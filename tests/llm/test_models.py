@@ -90,6 +90,20 @@ def test_no_labels(spark):
     assert identify(none, fit_languages(none)).count() == 0
 
 
+def test_any_number_of_languages_and_long_texts(spark, monkeypatch):
+    """230 languages with a word each, one only in texts that are too long to be sampled whole."""
+    from quartzo.llm import language
+
+    monkeypatch.setattr(language, "CHARS", 400)
+    names = [f"l{i:03}" for i in range(230)]
+    rows = [(n, f"{n.replace('l', 'w')}x " * (400 if n == "l007" else 12)) for n in names for _ in range(3)]
+    sample = language._sample(spark.createDataFrame(rows, "lang string, text string"), "text", "lang")
+    assert sorted(set(sample["lang"])) == names and len(sample) == 690 and sample["text"].str.len().max() <= 400
+    monkeypatch.setattr(language, "TEXTS", 2)
+    copies = spark.createDataFrame([("a", "same")] * 9 + [("b", "x"), ("b", "y")], "lang string, text string")
+    assert language._sample(copies, "text", "lang").groupby("lang").size().to_dict() == {"a": 2, "b": 2}
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
     fold = F.crc32(F.col("doc_id").cast("string")) % 5

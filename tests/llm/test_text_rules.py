@@ -5,8 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quartzo.llm import quality
-from quartzo.llm.licenses import BASE, scan
+from quartzo.llm import quality, queries
+from quartzo.llm.licenses import APART, BASE, SEEN, WORDINGS, needed, scan
 from quartzo.llm.lines import drop_boilerplate, host_of, lines_of
 from quartzo.llm.quality import judge
 
@@ -42,6 +42,71 @@ def test_license_places(spark):
     assert scan(df.limit(0)).count() == 0
 
 
+def plain_scan(text):
+    """Labels and score by trying every chain of pairs from every place."""
+    ws = words(text)
+    pairs, spans, base = list(zip(ws, ws[1:])), [], set()
+    for phrase, label in BASE:
+        p = phrase.split()
+        base |= {label for a in range(len(ws)) if ws[a : a + len(p)] == p}
+    for t, (phrase, label) in enumerate(WORDINGS):
+        p, needs = phrase.split(), needed(phrase, label)
+        steps = list(zip(p, p[1:]))
+        hits = [(a, q) for a, g in enumerate(pairs) for q, s in enumerate(steps) if g == s]
+        longest = max(len(w.split()) for w, _ in WORDINGS)
+        for first in hits:
+            chains = [(first,)]
+            for chain in chains:
+                chains += [(*chain, h) for h in hits if h[0] > chain[-1][0] and h[1] > chain[-1][1] and abs((h[0] - h[1]) - (first[0] - first[1])) <= APART]
+            best = max(chains, key=lambda c: (len(c), -c[-1][0], c))
+            share = len(best) / len(steps)
+            places = []
+            for n in needs:
+                fits = [a for a, w in enumerate(ws) if w == p[n] and first[0] <= a <= first[0] + longest + APART and abs((a - n) - (first[0] - first[1])) <= APART and all((q < n) == (x < a) for x, q in best)]
+                places.append(min(fits, default=None))
+            if share >= SEEN and None not in places:
+                spans.append((-share, -len(steps), first[0], len(BASE) + t, max([best[-1][0] + 2, *(a + 1 for a in places)]), label))
+    kept = []
+    for s in sorted(spans):
+        if all(k[2] >= s[4] or s[2] >= k[4] for k in kept):
+            kept.append(s)
+    return ",".join(sorted(base | {s[5] for s in kept})), max([-s[0] for s in kept] + [1.0] * bool(base), default=0.0)
+
+
+def test_license_labels_and_score_by_brute_force(spark):
+    rng = random.Random(11)
+    texts = ["", None]
+    for _ in range(250):
+        out = []
+        for _ in range(rng.randrange(1, 4)):
+            part = rng.choice(WORDINGS + BASE)[0].split()
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(part))
+                part = rng.choice([part[:at] + part[at + 1 :], part[:at] + [rng.choice("x under by nc sa the license 2".split())] + part[at:], part])or ["x"]
+            out += part + ["filler"] * rng.randrange(3)
+        texts.append(" ".join(out))
+    got = scan(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.labels, pytest.approx(r.score)) == plain_scan(r.text), r.text
+
+
+def test_license_base_columns_by_sql(spark):
+    """Whole tables against SQL that finds the phrases in the joined words."""
+    import duckdb
+
+    folder = "/root/testdata/sf0.01"
+    sql = """WITH d AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF x <> ''] AS ws FROM 'FOLDER/documents.parquet'),
+             p AS (SELECT doc_id, unnest(range(len(ws))) AS i, ws FROM d),
+             f AS (SELECT doc_id, i, label FROM p JOIN (VALUES PHRASES) v(phrase, label) ON ws[i + 1:i + len(phrase)] = phrase)
+             SELECT d.doc_id, len(ws), count(i), min(i), max(i), coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id, len(ws)"""
+    phrases = ", ".join(f"({p.split()}, '{label}')" for p, label in BASE)
+    want = duckdb.sql(sql.replace("FOLDER", folder).replace("PHRASES", phrases)).fetchall()
+    got = queries.op4_license_scans(spark, folder).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_license_wordings_are_told_apart(spark):
     texts = {
         "Licensed under CC BY-NC": "cc-by,cc-by-nc", "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa", "licensed under cc by": "cc-by", "licensed under cc by 4.0 only": "cc-by",
