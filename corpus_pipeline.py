@@ -16,19 +16,17 @@ from quartzo.llm.sharding import shard
 from quartzo.llm.simhash import simhash_components
 
 SHARDS = 8
-#: A text must be in its language by this mean marginal; undecided ones are rejected.
-SURE = 0.3
 #: Language identification can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject texts without a letter and texts in no language that the labels know."""
+    """Reject what the identifier calls undetermined: null and empty texts and texts without a letter; without any label, all.
+
+    Repeated rows are judged alike; an empty table stays empty.
+    """
     model = fit_languages(docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
-    if not model.labels:
-        return docs  # no labels, nothing to judge by
-    judged = identify(docs, model)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= SURE)).select(*docs.columns)
+    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,18 +41,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents of which a twentieth or more lies in benchmark windows."""
+    """Reject documents of which a twentieth or more lies in benchmark windows; null and empty texts have none and stay.
+
+    Repeated rows are judged each for itself.
+    """
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")).select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat and leave out documents until the sources' words have the weights 1, 2, 3 in turn."""
+    """Repeat and leave out documents until the sources' words have the weights 1, 2, 3 in turn.
+
+    A null source is one of its own. Null and empty texts have no words: they weigh nothing and stay once. Repeated rows are
+    drawn each for itself.
+    """
     size = F.size(blank_words(F.col("text"))).cast("long")
     return mix(docs, "source", size, F.xxhash64("doc_id", "text")).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deal the documents into shards of near equal bytes; equal texts together."""
+    """Deal the documents into shards of near equal bytes; equal texts together, null like empty. Every row has a slot."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     return shard(docs, SHARDS, size, F.xxhash64("text"))
 
