@@ -9,10 +9,11 @@ from quartzo.catalog.lake import checked_catalog, checked_events, checked_shipme
 from quartzo.operators import changes, quality
 from quartzo.operators.keys import drop_duplicate_keys, surrogate_key
 from quartzo.operators.profile import stacked
-from quartzo.plans import gold, lineage, silver, validate, warehouse
+from quartzo.plans import gold, lineage, refresh, silver, validate, warehouse
 from quartzo.plans.storefront import Storefront
 from quartzo.session import cut_lineage, scratch
 from quartzo.sources import formats
+from quartzo.sources.history import History
 
 
 def silver_tables(shop: Storefront, checked=None) -> dict:
@@ -137,6 +138,16 @@ def scd2(shop):
     return changes.scd2(customer_changes(shop), "customer_id", ["segmento"], "dia")
 
 
+@query("scd2_by_batches", "SELECT * FROM vigencias", **HISTORY)
+def scd2_by_batches(shop):
+    """The same spans from stored history that took the changes in three batches, the latest days first."""
+    found = cut_lineage(customer_changes(shop))
+    store = History(shop.spark, scratch(shop.spark, "history"), "customer_id", ["segmento"], "dia", "customer_id bigint, dia date, segmento string", buckets=8)
+    for batch, days in enumerate(("dia >= '1997-01-01'", "dia < '1994-06-01'", "dia >= '1994-06-01' and dia < '1997-01-01'")):
+        store.merge(found.filter(days), batch)
+    return store.spans()
+
+
 @query(
     "scd2_asof_lookup",
     """SELECT o.o_orderkey AS order_id, o.customer_id, o.dia, v.segmento FROM
@@ -361,6 +372,26 @@ def partition_refresh(shop):
     )
 
 
+@query(
+    "mart_day_refresh",
+    """SELECT d.data, CASE WHEN p.product_id = 100 THEN 'outra' ELSE p.categoria END AS categoria, count(DISTINCT v.order_id) AS pedidos,
+       CAST(sum(v.quantidade) AS BIGINT) AS itens, CAST(sum(v.valor_bruto) AS DECIMAL(18,2)) AS receita
+       FROM vendas_validas v JOIN dim_data d USING (sk_data) JOIN dim_produto p USING (sk_produto) GROUP BY 1, 2""",
+)
+def mart_day_refresh(shop):
+    """The last days come in, and a product changes its category: the stored mart is refreshed, not rebuilt."""
+    t = sales_tables(shop)
+    fact = cut_lineage(t["fato_vendas"])
+    dates, products = t["dim_data"], t["dim_produto"].select("sk_produto", "product_id", "categoria")
+    moved = products.withColumn("categoria", F.when(F.col("product_id") == 100, "outra").otherwise(F.col("categoria")))
+    path = scratch(shop.spark, "mart")
+    new = F.col("sk_data") >= 19980725
+    refresh.write_revenue(gold.mart_revenue_by_category_day(fact.filter(~new), dates, products), path)
+    days = refresh.affected_days([fact], fact.filter(new).select("sk_data"), refresh.changed_rows(products, moved, ["sk_produto"]))
+    refresh.refresh_revenue(path, fact, dates, moved, days)
+    return shop.spark.read.parquet(path).select("data", "categoria", "pedidos", "itens", "receita")
+
+
 @query(
     "dependency_order",
     """SELECT * FROM (VALUES (1, 'customers', (SELECT count(*) FROM stg_customers)), (2, 'suppliers', (SELECT count(*) FROM stg_suppliers)),
