@@ -19,7 +19,7 @@ from quartzo.plans.storefront import Storefront, every
 from quartzo.session import cut_lineage, scratch
 from quartzo.sources import formats
 from quartzo.sources import lake as layers
-from quartzo.sources.control import Control, changed_since
+from quartzo.sources.control import Control, changed_after
 from quartzo.sources.files import new_files, relative_key
 
 RUN = datetime(2024, 2, 1)
@@ -84,24 +84,25 @@ def bronze_idempotent(shop):
 
 @query(
     "incremental_extract",
-    """SELECT 1 AS lote, order_id, updated_at FROM orders_last WHERE updated_at > DATE '1996-12-31' AND updated_at <= DATE '1998-06-30'
-       UNION ALL SELECT 2, order_id, updated_at FROM orders_last WHERE updated_at >
-       (SELECT max(updated_at) FROM orders_last WHERE updated_at > DATE '1996-12-31' AND updated_at <= DATE '1998-06-30')""",
+    """SELECT 1 AS lote, order_id, updated_at FROM orders_last WHERE updated_at > DATE '1996-12-31' AND
+       (updated_at < DATE '1998-06-30' OR updated_at = DATE '1998-06-30' AND order_id % 2 = 0)
+       UNION ALL SELECT 2, order_id, updated_at FROM orders_last o WHERE updated_at > DATE '1998-06-30' OR updated_at = DATE '1998-06-30' AND order_id >
+       (SELECT coalesce(max(order_id), 0) FROM orders_last WHERE updated_at = DATE '1998-06-30' AND order_id % 2 = 0)""",
 )
 def incremental_extract(shop):
+    """The first extract sees only some orders of its last day; the second goes on behind the last of these, on the same day."""
     orders = shop.orders().filter("order_id % 8 <> 0 or updated_at <> created_at").select("order_id", "updated_at")
     control = Control(shop.spark, scratch(shop.spark, "control"))
     batches = []
-    for turn, upto in ((1, "1998-06-30"), (2, None)):
-        source = orders if upto is None else orders.filter(F.col("updated_at") <= F.lit(upto).cast("date"))
-        mark = control.watermark("orders", "1996-12-31", "date")
-        batch = changed_since(source, "updated_at", mark, "date").withColumn("lote", F.lit(turn))
+    for turn, seen in ((1, "updated_at < date'1998-06-30' or updated_at = date'1998-06-30' and order_id % 2 = 0"), (2, "true")):
+        place = control.place("orders", "1996-12-31", "date", "bigint")
+        batch = changed_after(orders.filter(seen), "updated_at", "order_id", place, "date").withColumn("lote", F.lit(turn))
         path = scratch(shop.spark, "extract")
         formats.write_parquet(batch, path)
         stored = shop.spark.read.parquet(path)
-        last = stored.agg(F.max("updated_at").cast("string")).first()[0]
-        if last:
-            control.advance("orders", last)
+        last = stored.agg(F.max(F.struct("updated_at", "order_id")).alias("p")).select("p.*").first()
+        if last.updated_at:
+            control.advance("orders", str(last.updated_at), str(last.order_id))
         batches.append(stored.select("lote", "order_id", "updated_at"))
     return stacked(batches)
 
@@ -150,6 +151,25 @@ def upsert_by_key(shop):
     return changes.upsert(base, order_changes(base), ["order_id"], "updated_at")
 
 
+@query(
+    "upsert_in_folders",
+    f"""SELECT order_id, status, updated_at, order_id < 3000 AS refeito FROM (SELECT order_id, status, updated_at FROM stg_orders UNION ALL
+        SELECT order_id, 'returned', updated_at + 100 FROM stg_orders WHERE order_id < 3000 AND order_id % 10 = 3)
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1""",
+)
+def upsert_in_folders(shop):
+    """Changes of one range of ids: only its folder of the stored table is read and written."""
+    path = scratch(shop.spark, "orders")
+    base = cut_lineage(silver.stg_orders(shop.orders()).select("order_id", "status", "updated_at"))
+    faixa = F.floor(F.col("order_id") / 3000).cast("bigint")
+    formats.write_partitioned(base.withColumns({"refeito": F.lit(False), "faixa": faixa}), path, ["faixa"])
+    late = base.filter("order_id < 3000 and order_id % 10 = 3").select(
+        "order_id", F.lit("returned").alias("status"), F.date_add("updated_at", 100).alias("updated_at"), F.lit(True).alias("refeito")
+    )
+    changes.upsert_folders(shop.spark, path, late, ["order_id"], "updated_at", "faixa", faixa, touch={"refeito": F.lit(True)})
+    return shop.spark.read.parquet(path).select("order_id", "status", "updated_at", "refeito")
+
+
 @query("delete_by_key", "SELECT id, titulo, isbn FROM livros WHERE estoque % 10 <> 0")
 def delete_by_key(shop):
     from quartzo.plans.bookstore import books

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartzo.functions.domains import FAR_FUTURE
 from quartzo.operators.keys import latest_version, surrogate_key
 from quartzo.operators.scan import last_known, neighbour
+from quartzo.session import cut_lineage
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -27,6 +28,26 @@ def upsert(base: DataFrame, changes: DataFrame, keys: list[str], seq: str) -> Da
     return kept.unionByName(applied)
 
 
+def upsert_folders(
+    spark: SparkSession, path: str, changes: DataFrame, keys: list[str], seq: str, folder: str, place: Column, touch: dict[str, Column] | None = None
+) -> list:
+    """Upsert into a stored table that lies in folders by ``place``, an expression of the keys; returns the folders written.
+
+    Only folders that hold a changed key are read and replaced; the others keep their files. ``touch`` sets columns of all
+    rows of the folders that were rewritten. There are as few folders as the table has, so their names may be listed.
+    """
+    came = cut_lineage(changes.withColumn(folder, place))
+    hit = [r[0] for r in came.select(folder).distinct().collect()]
+    if not hit:
+        return []
+    stored = spark.read.parquet(path)
+    base = stored.filter(F.col(folder).isin(hit))
+    now = upsert(base, came.select(*stored.columns), keys, seq).withColumns(touch or {})
+    now = cut_lineage(now)  # the folders that are read are about to be replaced
+    now.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder).parquet(path)
+    return sorted(hit)
+
+
 def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
 

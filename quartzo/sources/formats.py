@@ -110,18 +110,12 @@ def size_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 256 * 1024 * 1024, by: list[str] | None = None) -> int:
-    """Rewrite many small files as files of about ``target_bytes``; returns their number.
-
-    Without ``by`` rows are merged in place by a narrow coalesce when that leaves enough
-    tasks, so nothing is shuffled.
-    """
+    """Rewrite many small files as files of about ``target_bytes``; returns their number, which only the bytes decide."""
     total = file_sizes(spark, source).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     files = max(1, -(-int(total) // target_bytes))
     df = spark.read.parquet(source)
     if by:
         write_partitioned(df, target, by)
-    elif files >= spark.sparkContext.defaultParallelism:
-        write_parquet(df.coalesce(files), target)
     else:
         write_parquet(df.repartition(files), target)
     return files

@@ -7,12 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from quartzo import cli
+from quartzo.operators import changes
 from quartzo.operators.quality import BlockedRun
 from quartzo.plans import lineage, validate, warehouse
 from quartzo.plans.medallion import SOURCES, Medallion
 from quartzo.plans.storefront import Storefront
 from quartzo.sources import files, formats, lake, relational
-from quartzo.sources.control import Control, changed_since
+from quartzo.sources.control import Control, changed_after, changed_since
 from quartzo.streaming import jobs
 
 DATA = "/root/testdata/sf0.001"
@@ -169,6 +170,29 @@ def test_watermark_moves_only_when_told(spark, tmp_path):
     assert control.watermark("other", "2000-01-01") == "2000-01-01"
 
 
+def test_equal_times_are_not_skipped(spark, tmp_path):
+    control = Control(spark, str(tmp_path / "control"))
+    df = spark.createDataFrame([(9, "2024-01-01"), (10, "2024-01-01"), (11, "2024-01-01"), (2, "2024-01-02")], "id int, d string")
+    assert control.place("t", "2023-01-01") == ("2023-01-01", None)
+    control.advance("t", "2024-01-01", "9")
+    control.advance("t", "2024-01-01", "10")  # as numbers 10 is above 9
+    place = control.place("t", "x", "string", "int")
+    assert place == ("2024-01-01", "10") and sorted(r.id for r in changed_after(df, "d", "id", place, "string").collect()) == [2, 11]
+    assert sorted(r.id for r in changed_after(df, "d", "id", ("2023-01-01", None), "string").collect()) == [2, 9, 10, 11]
+
+
+def test_upsert_in_folders_leaves_the_others(spark, tmp_path, rows):
+    path, place = str(tmp_path / "t"), (F.col("id") / 10).cast("int")
+    df = spark.createDataFrame([(i, 1, "a") for i in range(40)], "id int, seq int, v string")
+    formats.write_partitioned(df.withColumn("f", place), path, ["f"])
+    before = listing(spark, path)
+    late = spark.createDataFrame([(3, 2, "b"), (4, 0, "old"), (57, 1, "new"), (3, 1, "c")], df.schema)
+    assert changes.upsert_folders(spark, path, late, ["id"], "seq", "f", place) == [0, 5]
+    assert {p for p in before if "f=0/" not in p} <= listing(spark, path) and not {p for p in before if "f=0/" in p} & listing(spark, path)
+    assert rows(spark.read.parquet(path).drop("f")) == rows(changes.upsert(df, late, ["id"], "seq"))
+    assert changes.upsert_folders(spark, path, late.limit(0), ["id"], "seq", "f", place) == []
+
+
 def test_failed_batch_stays_invisible(spark, tmp_path):
     store = lake.Versions(spark, str(tmp_path / "v"))
     with pytest.raises(LookupError):
