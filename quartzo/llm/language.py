@@ -29,12 +29,15 @@ def _sample(labelled: DataFrame, text: str, lang: str) -> pd.DataFrame:
     (rid,) = unused(labelled, "row")
     rows = identified(labelled.where(F.col(lang).isNotNull() & (F.char_length(text) > 0)), rid)
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(rid).alias("draw"))
+    # about four times as many as are wanted, so that what is ranked doesn't grow with the input
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod("draw", F.lit(1 << 40))
+    near = rows.join(sizes, "lang").withColumn("place", place).where(F.col("place") / (1 << 40) * F.col("n") < 4 * TEXTS)
     spare = F.char_length("text") - CHARS
     start = F.when(spare > 0, F.pmod(F.col("draw"), spare + 1)).otherwise(0)
-    rows = rows.withColumn("text", F.substr("text", (start + 1).cast("int"), F.lit(CHARS)))
-    # each task sends no more than TEXTS rows of a language
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    drawn = rows.withColumn("place", place).where(F.col("place") <= TEXTS).select("lang", "text")
+    near = near.withColumn("text", F.substr("text", (start + 1).cast("int"), F.lit(CHARS)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "draw", "text"))
+    drawn = near.withColumn("rank", rank).where(F.col("rank") <= TEXTS).select("lang", "text")
     return drawn.toPandas().sort_values(["lang", "text"])
 
 
