@@ -123,8 +123,10 @@ FROM sized d LEFT JOIN place USING (r) LEFT JOIN found USING (r) WHERE d.kind =
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mix(docs, "source", n_blank_words(), F.xxhash64("doc_id", "text"), undrawn=True)
-    rows = mixed.groupBy("mix_row", "doc_id", "mix_size", "source_size", "target").agg(F.count("copy").alias("times"))
-    return rows.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("times") * F.col("mix_size")).alias("taken"))
+    # a copy counts where the tree has put its block: a row has three at most
+    rows = mixed.groupBy("mix_row", "doc_id", "mix_size", "source_size", "target").agg(F.array_sort(F.collect_list("mix_shard")).alias("shards"))
+    taken = (F.size("shards") * F.col("mix_size")).alias("taken")
+    return rows.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", taken, "shards")
 
 
 #: The conversation that the contract adds.

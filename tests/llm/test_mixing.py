@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quartzo.llm import mixing
+from quartzo.llm import mixing, queries
 from quartzo.llm.mixing import mix, split
 
 SCHEMA = "doc_id long, source string, words long, Copy string, row int"
@@ -60,7 +60,27 @@ def test_shards_get_each_block_once(spark, monkeypatch):
     for r in got:
         by_shard.setdefault(r.mix_shard, []).append(r.mix_slot)
     assert len(by_shard) == 8 and all(sorted(s) == list(range(len(s))) for s in by_shard.values())
-    assert sorted(tuple(r) for r in run(spark, rows)) == sorted(tuple(r) for r in run(spark, rows)) or len(got) == len([r for r in run(spark, rows) if r["copy"] is not None])
+    # the tree decides alike in every run
+    placed = lambda: sorted((r.doc_id, r["copy"], r.mix_shard) for r in run(spark, rows) if r["copy"] is not None)
+    assert placed() == placed() == sorted((r.doc_id, r["copy"], r.mix_shard) for r in got)
+
+
+def test_quotas_follow_the_hypergeometric_law(spark):
+    """300 sources of 8 blocks: of 2400 blocks half go left, so a source's share has mean 4 and variance 8/4 * 2392/2399."""
+    blocks = spark.createDataFrame([(r, b) for r in range(300) for b in range(8)], "rank long, block long")
+    left = {r["rank"]: r["count"] for r in split(blocks, 1).where("shard = 0").groupBy("rank").count().collect()}
+    counts = [left.get(r, 0) for r in range(300)]
+    mean = sum(counts) / 300
+    assert mean == 4 and 1.5 < sum((c - mean) ** 2 for c in counts) / 299 < 2.5
+
+
+def test_query_tells_the_shards_of_every_copy(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.randrange(30), rng.choice(["a", "b", None])) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_mixing(spark, str(tmp_path)).collect()
+    assert len(got) == 200 and all(r.taken == r.size * len(r.shards) and all(0 <= s < 8 for s in r.shards) for r in got)
+    assert len({s for r in got for s in r.shards}) == 8
 
 
 def test_splits_are_exact_halves(spark):
