@@ -29,10 +29,12 @@ def _sample(labelled: DataFrame, text: str, lang: str) -> pd.DataFrame:
     (rid,) = unused(labelled, "row")
     rows = identified(labelled.where(F.col(lang).isNotNull() & (F.char_length(text) > 0)), rid)
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(rid).alias("draw"))
-    # about four times as many as are wanted, so that what is ranked doesn't grow with the input
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # about four times as many as are wanted are ranked, so that this doesn't grow with the input; a count for each language,
+    # as one value, lets texts stay where they are until then
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.map_from_entries(F.collect_list(F.struct("lang", "n")))).scalar()
     place = F.pmod("draw", F.lit(1 << 40))
-    near = rows.join(sizes, "lang").withColumn("place", place).where(F.col("place") / (1 << 40) * F.col("n") < 4 * TEXTS)
+    near = rows.withColumn("place", place).where(F.col("place") / (1 << 40) * F.element_at(sizes, F.col("lang")) < 4 * TEXTS)
     spare = F.char_length("text") - CHARS
     start = F.when(spare > 0, F.pmod(F.col("draw"), spare + 1)).otherwise(0)
     near = near.withColumn("text", F.substr("text", (start + 1).cast("int"), F.lit(CHARS)))
