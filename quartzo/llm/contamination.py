@@ -1,9 +1,11 @@
 """Benchmark decontamination over a positional inverted index.
 
-The index holds a posting (term, row, position) for every word of the documents that any benchmark item uses. For every
-window of an item the two rarest terms are looked up; postings moved back by their offsets in the item meet on (row, item,
-diagonal). Where two meet, the words of the document are compared with the item's along that diagonal, and every window that
-agrees word by word is an exact match. Where many meet on neighbouring diagonals, words were added or left out: a proximity match.
+Terms are counted first. Of every window of an item the two rarest terms are its anchors, and the index holds a posting
+(term, row, position) for every word of the documents that is the anchor of some window: no other posting is ever read.
+Postings moved back by their offsets in the item meet on (row, item, diagonal). Where two meet, the words of the document are
+compared with the item's along that diagonal, and every window that agrees word by word is an exact match. Where many meet on
+neighbouring diagonals, words were added or left out: a proximity match. Documents lie in blocks of ``BLOCK`` words for the
+comparison, so a diagonal meets the blocks that its item reaches over, never a whole long text.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from quartzo.llm.common import Work, alnum_words, identified, stored, unused, wo
 
 #: Words of a window; diagonals that count as neighbours, and the share of an item's looked-up words that must meet on them.
 WINDOW, SLOP, NEAR = 13, 8, 0.5
+#: Words of a document's block.
+BLOCK = 256
 
 
 def _items(benchmark: DataFrame, text: str, item_id: str) -> DataFrame:
@@ -39,10 +43,24 @@ def _anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
     return each.select("c.term", "item", "c.at", "width", "anchors")
 
 
-def _same(words: Column, item_words: Column, diagonal: Column) -> Column:
-    """Whether the document has the item's word, along a diagonal. (``words`` is named twice so that it isn't split per word.)"""
-    inside = lambda i: (diagonal + i >= 0) & (diagonal + i < F.size(words))
-    return F.transform(item_words, lambda w, i: F.when(inside(i), F.get(words, diagonal + i) == w).otherwise(False))
+def _aligned(diagonals: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Compare items with documents: row, item_id, width, same (does each word agree) and diagonal, the document's place of the first of ``same``.
+
+    ``diagonals``: row, item, item_id, item_words, width, diagonal. A text's blocks are sent once, an item's words to each
+    block they reach; a group is one item on one diagonal, as long as the item.
+    """
+    words = F.split("said", " ")
+    texts = tokens.join(diagonals.select("row").distinct(), "row", "left_semi").select("row", words.alias("words"))
+    cuts = F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK)), lambda at: F.slice("words", at + 1, BLOCK))
+    blocks = texts.select("row", F.posexplode(cuts).alias("block", "words"))
+    reach = F.sequence(F.floor(F.greatest("diagonal", F.lit(0)) / BLOCK).cast("int"), F.floor((F.col("diagonal") + F.size("item_words") - 1) / BLOCK).cast("int"))
+    met = diagonals.select("*", F.explode(reach).alias("block")).join(blocks, ["row", "block"])
+    shift = F.col("diagonal") - F.col("block") * BLOCK
+    met = met.select("*", F.greatest(F.lit(0), -shift).alias("low"), F.least(F.size("item_words"), F.size("words") - shift).alias("high")).where("low < high")
+    same = F.transform(F.sequence(F.col("low"), F.col("high") - 1), lambda i: F.get("words", shift + i) == F.get("item_words", i))
+    pieces = met.select("row", "item", "item_id", "width", "diagonal", F.struct("low", same.alias("same")).alias("piece"))
+    lined = pieces.groupBy("row", "item", "item_id", "width", "diagonal").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    return lined.select("row", "item_id", "width", (F.col("diagonal") + F.get("pieces", F.lit(0))["low"]).alias("diagonal"), F.flatten("pieces.same").alias("same"))
 
 
 def _covered(same: Column, width: Column, diagonal: Column) -> Column:
@@ -59,17 +77,17 @@ def _matches(w: Work, rows: DataFrame, benchmark: DataFrame, text: str, bench_te
     tokens = w.write(split.select("row", F.size("words").cast("long").alias("n_words"), F.array_join("words", " ").alias("said")), "tokens")
     words = F.split("said", " ")
     items = w.write(_items(benchmark, bench_text, item_id), "items")
-    used = w.write(items.select(F.explode("item_words").alias("word")).distinct(), "terms")
-    postings = tokens.where("n_words > 0").select("row", F.posexplode(words).alias("at", "word")).join(used, "word", "left_semi")
-    postings = w.write(postings.select(F.xxhash64("word").alias("term"), "row", "at"), "postings")
-    anchors = w.write(_anchors(items, postings.groupBy("term").count()), "anchors")
+    used = items.select(F.explode("item_words").alias("word")).select(F.xxhash64("word").alias("term")).distinct()
+    # counted before it is joined, so what a shuffle may carry is a row per term and task, not per word
+    terms = tokens.where("n_words > 0").select(F.explode(words).alias("word")).groupBy(F.xxhash64("word").alias("term")).agg(F.count("*").alias("count"))
+    anchors = w.write(_anchors(items, terms.join(used, "term", "left_semi")), "anchors")
+    postings = tokens.where("n_words > 0").select("row", F.posexplode(words).alias("at", "word")).select(F.xxhash64("word").alias("term"), "row", "at")
+    postings = w.write(postings.join(anchors.select("term").distinct(), "term", "left_semi"), "postings")
     moved = postings.withColumnRenamed("at", "doc_at").join(anchors, "term")
     votes = moved.groupBy("row", "item", "width", "anchors", (F.col("doc_at") - F.col("at")).alias("diagonal")).agg(F.count("*").alias("votes"))
     votes = w.write(votes, "votes")
-    lined = votes.where(F.col("votes") >= F.least(F.lit(2), F.col("width"))).join(items.drop("width"), "item")
-    lined = lined.join(tokens, "row").withColumn("words", words)
-    lined = lined.select("row", "item_id", "width", "diagonal", _same(F.col("words"), F.col("item_words"), F.col("diagonal")).alias("same"))
-    lined = w.write(lined, "lined")
+    diagonals = votes.where(F.col("votes") >= F.least(F.lit(2), F.col("width"))).join(items.drop("width"), "item")
+    lined = w.write(_aligned(diagonals.select("row", "item", "item_id", "item_words", "width", "diagonal"), tokens), "lined").where(F.size("same") >= F.col("width"))
     hits = w.write(lined.select("row", "item_id", _covered(F.col("same"), F.col("width"), F.col("diagonal")).alias("places")), "hits")
     hits = hits.where(F.size("places") > 0)
     n_hit = hits.select("row", F.explode("places").alias("place")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))

@@ -1,6 +1,9 @@
 import random
 import re
 
+import pytest
+
+from quartzo.llm import contamination
 from quartzo.llm.contamination import decontaminate
 
 
@@ -33,7 +36,10 @@ def check(spark, docs, items):
     return out
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("block", [256, 7, 1])
+def test_against_brute_force(spark, block, monkeypatch):
+    """Items reach over several blocks of a text where blocks are short."""
+    monkeypatch.setattr(contamination, "BLOCK", block)
     rng = random.Random(4)
     vocabulary = ["the", "of", "a", "É", "é", "x1"] + [f"w{i}" for i in range(30)]
     text = lambda n: " ".join(rng.choices(vocabulary, k=n))
@@ -59,3 +65,12 @@ def test_proximity(spark):
 def test_empty_tables(spark):
     check(spark, [], [(1, "a b c")])
     check(spark, [(1, "a b c"), (2, None)], [])
+
+
+def test_long_text_quotes_many_items(spark):
+    rng = random.Random(6)
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(13 + i))) for i in range(40)]
+    parts = []
+    for _, item in items:
+        parts += [" ".join(rng.choices(["the", "of", "and"], k=rng.randrange(200, 400))), item]
+    check(spark, [(1, " ".join(parts * 2)), (2, " ".join(parts[:9]))], items)
