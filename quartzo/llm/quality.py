@@ -1,9 +1,11 @@
 """Quality rules by robust multivariate outliers.
 
-Fixed rules reject a text first. Then every language and source gets its own minimum-covariance-determinant estimate of where
-its texts' statistics lie: starting from medians and spreads, concentration steps keep the ``CORE`` share of texts that lie
-closest and estimate centre and covariance anew from these. A text whose Mahalanobis distance is too large is an outlier.
-Texts of groups too small for an estimate are judged by that of their language, or of all texts where that is small too.
+Fixed rules reject a text first. Of the texts that pass them every language and source gets its own
+minimum-covariance-determinant estimate of where their statistics lie. Several starts (medians and spreads, spatial signs,
+squashed scores, a drawn subset) take concentration steps, each of which keeps the ``CORE`` share of texts that lie closest and
+estimates centre and covariance anew from these. The start whose covariance has the smallest determinant goes on until its
+determinant falls no more. A text whose Mahalanobis distance is too large is an outlier. Texts of groups too small for an
+estimate are judged by that of their language, or of all texts where that is small too.
 
 All of it is grouped sums over one narrow row per text. Medians and the reach of the core come from counts in fine bins, so
 no group, however large, has to be sorted or held in one task, and reruns agree.
@@ -20,8 +22,12 @@ from quartzo.llm.common import blank_words, identified, stored, unused
 
 #: The symbols that count.
 SYMBOLS = "#*$%&|<>"
-#: Share of texts that the estimate rests on; concentration steps; texts a group must have for an estimate of its own.
-CORE, STEPS, LEAST = 0.75, 4, 40
+#: Share of texts that the estimate rests on; texts a group must have for an estimate of its own.
+CORE, LEAST = 0.75, 40
+#: Concentration steps of every start; steps at most of the best one, and the fall of a log determinant that counts as one.
+TRIALS, STEPS, FALL = 2, 20, 1e-4
+#: One text in so many is drawn for the start from a subset.
+DRAWN = 8
 #: Squared distance of an outlier: far beyond the chi-square tail with 5 degrees, as the tails of texts are heavier.
 CUTOFF = 90.0
 #: Standard deviation of each statistic at least, so a statistic that hardly varies doesn't condemn small changes.
@@ -120,14 +126,71 @@ def _squared(dims: list[str]) -> Column:
 
 
 def _estimate(core: DataFrame, dims: list[str]) -> DataFrame:
-    """Mean and Cholesky factor of the covariance, whose variances get their floors, by g."""
+    """Mean, Cholesky factor of the covariance, whose variances get their floors, and half its log determinant, by g."""
     pairs = [(a, b) for i, a in enumerate(dims) for b in dims[: i + 1]]
     sums = core.groupBy("g").agg(*(F.avg(d).alias(f"m_{d}") for d in dims), *(F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs))
     for i, a in enumerate(dims):
         for j, b in enumerate(dims[: i + 1]):
             rest = reduce(lambda s, c: s - F.col(f"l_{a}_{c}") * F.col(f"l_{b}_{c}"), dims[:j], F.col(f"c_{a}_{b}"))
             sums = sums.withColumn(f"l_{a}_{b}", F.sqrt(F.greatest(rest, F.lit(FLOORS[a] ** 2))) if i == j else rest / F.col(f"l_{b}_{b}"))
-    return sums.select("g", *(f"m_{d}" for d in dims), *(f"l_{a}_{b}" for a, b in pairs))
+    # the determinant is the product of the squared diagonal; rounded, so the order of sums doesn't choose between equal ones
+    spread = F.round(reduce(lambda s, d: s + F.log(F.col(f"l_{d}_{d}")), dims, F.lit(0.0)), 6)
+    return sums.select("g", *(f"m_{d}" for d in dims), *(f"l_{a}_{b}" for a, b in pairs), spread.alias("spread"))
+
+
+def _begun(start: str) -> Column:
+    return F.struct("g.level", "g.lang", "g.source", F.lit(start).alias("start")).alias("g")
+
+
+def _starts(rows: DataFrame, dims: list[str]) -> DataFrame:
+    """First estimates of every group, g being (level, lang, source, start).
+
+    middle: medians and median deviations. signs: covariance of directions from the medians. squashed: of the hyperbolic
+    tangents of scores. drawn: of one text in ``DRAWN``, by a hash. All are moved back to medians and deviations' scale.
+    """
+    middle = stored(_start(rows, dims))
+    placed = _beside(rows, middle)
+    scores = {d: (F.col(d) - F.col(f"m_{d}")) / F.col(f"l_{d}_{d}") for d in dims}
+    length = F.greatest(F.sqrt(reduce(lambda s, z: s + z * z, scores.values(), F.lit(0.0))), F.lit(1e-9))
+    back = lambda d, u: (F.col(f"m_{d}") + F.col(f"l_{d}_{d}") * u).alias(d)
+    moved = {
+        "signs": placed.select(_begun("signs"), *(back(d, z * len(dims) ** 0.5 / length) for d, z in scores.items())),
+        "squashed": placed.select(_begun("squashed"), *(back(d, F.tanh(z) * 1.6) for d, z in scores.items())),
+        "drawn": rows.where(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(DRAWN)) == 0).select(_begun("drawn"), *dims),
+    }
+    fits = _estimate(reduce(DataFrame.unionByName, moved.values()), dims).drop("spread")
+    return middle.withColumn("g", _begun("middle")).unionByName(fits)
+
+
+def _step(rows: DataFrame, fit: DataFrame, dims: list[str]) -> DataFrame:
+    """A concentration step: the estimate of the ``CORE`` share of each group that ``fit`` has closest, in bins of distance."""
+    distances = _bins(_beside(rows, fit).withColumn("d2", _squared(dims)).select("g", "part", *dims, "d2"))
+    reach = _reach(distances.groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], CORE).withColumnRenamed("bin", "last")
+    return _estimate(_beside(distances, reach).where("bin <= last"), dims)
+
+
+def _least(fits: DataFrame) -> DataFrame:
+    """The estimate of the smallest determinant of every group."""
+    rest = [c for c in fits.columns if c not in ("g", "spread")]
+    return fits.groupBy("g").agg(F.min(F.struct("spread", *rest)).alias("f")).select("g", "f.*")
+
+
+def _concentrated(rows: DataFrame, dims: list[str]) -> DataFrame:
+    """The estimate of every group, with the start it came from; ``rows``: row, g, part and the statistics."""
+    fit = stored(_starts(rows, dims))
+    kinds = F.explode(F.array(*(F.lit(s) for s in ("middle", "signs", "squashed", "drawn")))).alias("start")
+    trials = rows.select("*", kinds).withColumn("g", F.struct("g.level", "g.lang", "g.source", "start"))
+    for _ in range(TRIALS):
+        fit = stored(_step(trials, fit, dims))
+    best = stored(_least(fit.withColumn("start", F.col("g.start")).withColumn("g", F.struct("g.level", "g.lang", "g.source"))))
+    moving = best
+    for _ in range(STEPS):
+        after = _step(rows, moving.drop("start", "spread"), dims).join(moving.select("g", "start", F.col("spread").alias("was")), "g")
+        moving = stored(after.where(F.col("spread") < F.col("was") - FALL).drop("was"))
+        if moving.isEmpty():
+            break
+        best = stored(_least(best.unionByName(moving)))
+    return best
 
 
 def _beside(rows: DataFrame, estimates: DataFrame, by: tuple[str, ...] = ("g",)) -> DataFrame:
@@ -148,7 +211,7 @@ def _populations(rows: DataFrame) -> DataFrame:
     many texts; its estimate rests on all of them. Level 2 is all texts, if a language has fewer.
     """
     rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int")).withColumn("l", F.struct("g.lang"))
-    counts = stored(rows.groupBy("g", "l").count())
+    counts = stored(rows.groupBy("g", "l").agg(F.count_if("sound").alias("count")))
     langs = stored(counts.groupBy("l").agg(F.sum("count").alias("texts"), F.min("count").alias("least")).where(F.col("least") < LEAST))
     all_too = not langs.where(F.col("texts") < LEAST).isEmpty()
     parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
@@ -166,16 +229,12 @@ def _populations(rows: DataFrame) -> DataFrame:
 
 
 def _judged(rows: DataFrame, dims: list[str]) -> DataFrame:
-    """row, level of the group that judges it, and distance (squared). ``rows``: row, g and the statistics."""
+    """row, level of the group that judges it, and distance (squared). ``rows``: row, g, sound (estimates rest on it) and the statistics."""
     judged = stored(_populations(rows))
-    fit = stored(_start(judged, dims))
-    for _ in range(STEPS):
-        distances = _bins(_beside(judged, fit).withColumn("d2", _squared(dims)).select("g", "part", *dims, "d2"))
-        reach = _reach(distances.groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], CORE).withColumnRenamed("bin", "last")
-        fit = stored(_estimate(_beside(distances, reach).where("bin <= last"), dims))
-    distances = _beside(judged, fit).select("row", "g", "part", "asks", _squared(dims).alias("d2"))
+    fit = _concentrated(judged.where("sound"), dims).drop("start", "spread")
+    distances = _beside(judged, fit).select("row", "g", "part", "asks", "sound", _squared(dims).alias("d2"))
     # the core's covariance is too small by a factor; the median distance, 4.35 for five statistics, shows it
-    middle = _reach(_bins(distances).groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], 0.5)
+    middle = _reach(_bins(distances.where("sound")).groupBy("g", "bin").agg(F.count("*").alias("n")), ["g"], 0.5)
     scale = middle.select("g", F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 0.5) / PER_DOUBLING) / 4.35).alias("scale"))
     return _beside(distances.where("asks"), scale).select("row", F.col("g.level").alias("level"), (F.col("d2") / F.col("scale")).alias("distance"))
 
@@ -184,9 +243,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """All rows and columns, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, wider_distance and kept.
 
     base_failed: under 50 words, or over half of them in 3-word windows that the text has twice. distance: squared
-    Mahalanobis distance within the text's language and source, null in groups of under ``LEAST`` texts. wider_distance:
-    theirs within the texts of the language, or within all texts where the language has under ``LEAST`` too. Every text with
-    a word has one of the two. kept: not base_failed, and no distance above ``CUTOFF``. Null texts have no words; null
+    Mahalanobis distance within the text's language and source, null in groups of under ``LEAST`` texts that aren't
+    base_failed. wider_distance: theirs within the texts of the language, or within all texts where the language has under
+    ``LEAST`` too. Every text with a word has one of the two, unless all texts are base_failed: no estimate rests on these. kept: not base_failed, and no distance above ``CUTOFF``. Null texts have no words; null
     languages and sources are groups like any other. Repeated rows get equal results. Columns of the same names are replaced.
     """
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "wider_distance", "kept"]
@@ -196,8 +255,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     group = F.struct(F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source")).alias("g")
     found = stored(_statistics(whole.select(F.col(rid).alias("row"), group, F.col(text).alias("said")), F.col("said")).drop("said"))
     vector = _vector()
-    distances = _judged(found.where("n_words > 0").select("row", "g", *(v.alias(d) for d, v in vector.items())), list(vector))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    distances = _judged(found.where("n_words > 0").select("row", "g", (~failed).alias("sound"), *(v.alias(d) for d, v in vector.items())), list(vector))
     out = found.join(distances, "row", "left").withColumn("base_failed", failed)
     out = out.withColumn("kept", ~failed & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF)).withColumnRenamed("row", "found_row")
     out = out.withColumn("wider_distance", F.when(F.col("level") > 0, F.col("distance"))).withColumn("distance", F.when(F.col("level") == 0, F.col("distance")))
