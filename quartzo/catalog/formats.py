@@ -13,7 +13,7 @@ from quartzo.operators.compare import contents_equal
 from quartzo.plans import warehouse
 from quartzo.plans.storefront import Storefront
 from quartzo.session import scratch
-from quartzo.sources import files, formats, relational
+from quartzo.sources import files, formats, packing, relational
 from quartzo.sources.lake import Lake
 
 ACCOUNTS_SQL = "SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment FROM customer"
@@ -235,13 +235,18 @@ def changed(shop):
     return reduce(DataFrame.unionByName, turns)
 
 
-@query("compact_small_files", "SELECT count(*) AS linhas, CAST(sum(l_linenumber) AS BIGINT) AS soma, true AS menos_arquivos FROM lineitem")
+@query(
+    "compact_small_files",
+    """SELECT l_linenumber AS pasta, count(*) AS linhas, sum(l_orderkey) AS soma, count(DISTINCT l_linenumber) AS arquivos
+       FROM lineitem GROUP BY l_linenumber""",
+)
 def compact_small_files(shop):
-    many, few = scratch(shop.spark, "many"), scratch(shop.spark, "few")
-    lines = shop.table("lineitem").select("l_orderkey", "l_linenumber")
-    formats.write_parquet(lines.repartition(24), many)
-    formats.compact(shop.spark, many, few)
-    count = lambda p: formats.file_sizes(shop.spark, p).agg(F.count(F.lit(1))).scalar()
-    back = formats.read_parquet(shop.spark, few)
-    sums = back.agg(F.count(F.lit(1)).alias("linhas"), F.sum("l_linenumber").alias("soma"))
-    return sums.withColumn("menos_arquivos", count(few) < count(many))
+    """24 files a folder become one, as a folder holds less than the target."""
+    path = scratch(shop.spark, "many")
+    lines = shop.table("lineitem").select("l_orderkey", F.col("l_linenumber").alias("pasta"))
+    formats.write_partitioned(lines.repartition(24), path, ["pasta"], gather=False)
+    packing.pack(shop.spark, path)
+    back = shop.spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("arquivo"))
+    return back.groupBy("pasta").agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum("l_orderkey").alias("soma"), F.count_distinct("arquivo").alias("arquivos")
+    )
