@@ -277,6 +277,46 @@ def test_stream_state_keeps_a_batch_to_its_own_rows(spark, tmp_path):
     assert got == want and spark.read.parquet(f"{out}/decided").select("_batch").distinct().count() == 15
 
 
+def test_a_batch_goes_through_its_state_once(spark, tmp_path):
+    """Events of two batches, copies among them: few parts of state, one update for each event, exact numbers of copies."""
+    landing, out, check = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "check")
+    schema = "event_id bigint, session_id string, customer_id bigint, product_id bigint, order_id bigint, event_type string, event_at string, device string, source string"
+    line = lambda i, k: (i, "s", 2**60 + 1 if i % 2 else None, None, None, "view", f"2024-01-0{k} 10:00:00", "app", "web")
+    people, goods = spark.createDataFrame([(2**60 + 1,)], "customer_id bigint"), spark.createDataFrame([], "product_id bigint")
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        for k, ids in ((1, [*range(30), 3, 3, None]), (2, [3, 5, 5, 40, None])):
+            spark.createDataFrame([line(i or 0, k) if i is not None else (None, *line(0, k)[1:]) for i in ids], schema).coalesce(1).write.json(f"{landing}/events/{k}")
+            stream = jobs.landing_stream(spark, f"{landing}/events", schema)
+            progress = [b for b in jobs.quality_split(stream, people, goods, landing, out, check, RUN) if b["numInputRows"]]
+            state = progress[-1]["stateOperators"][0]
+            assert state["numShufflePartitions"] <= 2 * spark.sparkContext.defaultParallelism
+            assert state["numRowsTotal"] == (31 if k == 1 else 32) and state["numRowsUpdated"] <= len(set(ids))
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", given)
+    got = spark.read.parquet(f"{out}/checked")
+    turns = sorted((r.event_id, r.ocorrencia) for r in got.collect() if r.event_id in (3, 5, 40))
+    assert turns == [(3, 1), (3, 2), (3, 3), (3, 4), (5, 1), (5, 2), (5, 3), (40, 1)]
+    assert [r.ocorrencia for r in got.filter("event_id is null").orderBy("ocorrencia").collect()] == [1, 2]
+    assert {r.customer_id for r in got.filter("event_id % 2 = 1").collect()} == {2**60 + 1}
+
+
+def test_settled_amounts_are_exact(spark, tmp_path):
+    """A missing amount in a book's batch makes no decimal of the others; books that have no stock and no key are refused."""
+    source, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    shelf = spark.createDataFrame([(1, 2**55)], "livro bigint, estoque bigint")
+    lines = [(1, 1, 2**54 + 1), (1, 2, None), (1, 3, 2**54 - 1), (1, 4, 1), (None, 1, 1)]
+    spark.createDataFrame(lines, "livro bigint, vez bigint, qtd bigint").coalesce(1).write.parquet(source)
+    jobs.sales(jobs.landing_stream(spark, source, "livro bigint, vez bigint, qtd bigint", fmt="parquet"), shelf, "livro", "vez", "qtd", out, check)
+    got = {(r.livro, r.vez): (r.qtd, r.motivo, r.estoque_antes) for r in spark.read.parquet(f"{out}/decided").collect()}
+    assert got == {
+        (1, 1): (2**54 + 1, None, 2**55), (1, 2): (None, "quantidade_invalida", None), (1, 3): (2**54 - 1, None, 2**54 - 1),
+        (1, 4): (1, "estoque_insuficiente", 0), (None, 1): (1, "livro_inexistente", None),
+    }
+
+
 def test_validation_needs_all_checks(spark):
     ok = spark.createDataFrame([("a", True, "")], "verificacao string, ok boolean, detalhe string")
     validate.require(ok)
