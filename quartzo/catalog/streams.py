@@ -8,7 +8,7 @@ from quartzo.catalog.base import query
 from quartzo.catalog.books import TURNS
 from quartzo.catalog.lake import BRONZE_SQL, EVENT_SCHEMA, RUN, landed_events
 from quartzo.plans import bookstore
-from quartzo.session import scratch
+from quartzo.session import cut_lineage, scratch
 from quartzo.sources import formats
 from quartzo.streaming import jobs
 
@@ -78,13 +78,12 @@ def stream_quality_split(shop):
 
 @query("stream_sales", "SELECT livro_id, vez, quantidade, motivo, estoque_antes FROM decisoes", recursive=True, **TURNS)
 def stream_sales(shop):
-    """Three batches, each with the turns that follow the one before."""
-    source = scratch(shop.spark, "stream-requests")
-    turns = bookstore.in_turn(bookstore.requests(shop)).select("livro_id", "vez", "quantidade")
-    for k, part in enumerate(("vez <= 8", "vez between 9 and 20", "vez > 20")):
-        formats.write_parquet(turns.filter(part).coalesce(1), f"{source}/{k}")
-    stream = jobs.landing_stream(shop.spark, source, "livro_id bigint, vez bigint, quantidade bigint", 1, fmt="parquet")
+    """Three batches, each with the turns that follow the one before; what has landed by a start of the stream is one batch."""
+    source, out, check = (scratch(shop.spark, n) for n in ("stream-requests", "stream-sales", "check"))
+    turns = cut_lineage(bookstore.in_turn(bookstore.requests(shop)).select("livro_id", "vez", "quantidade"))
     stock = bookstore.books(shop).select(F.col("id").alias("livro_id"), "estoque")
-    out = scratch(shop.spark, "stream-sales")
-    jobs.sales(stream, stock, "livro_id", "vez", "quantidade", out, scratch(shop.spark, "check"))
+    for k, part in enumerate(("vez <= 8", "vez between 9 and 20", "vez > 20")):
+        formats.write_parquet(turns.filter(part), f"{source}/{k}")
+        stream = jobs.landing_stream(shop.spark, source, "livro_id bigint, vez bigint, quantidade bigint", fmt="parquet")
+        jobs.sales(stream, stock, "livro_id", "vez", "quantidade", out, check)
     return shop.spark.read.parquet(f"{out}/decided").select("livro_id", "vez", "quantidade", "motivo", "estoque_antes")
