@@ -197,6 +197,24 @@ def test_missing_stocks_are_found(spark):
     assert got == {"": 2, "estoque_ausente": 2, "titulo_ausente, estoque_ausente": 1, "preco_ausente": 1}
 
 
+def test_a_sale_lists_its_items(spark, monkeypatch):
+    from quartzo.catalog.base import REGISTRY
+
+    monkeypatch.setattr(silver, "stg_orders", lambda orders: orders)
+
+    class Shop:
+        def orders(self):
+            return spark.createDataFrame([(1, 7), (2, 8), (3, 9), (4, 9)], "order_id long, customer_id long")
+
+        def order_items(self):
+            lines = [(1, i, 2, 5) for i in range(1500, -1, -1)] + [(2, 5, 1, 4), (2, None, 1, 3), (2, 5, 1, 4), (4, None, 1, 1)]
+            return spark.createDataFrame(lines, "order_id long, item_id long, quantity int, line_cents long")
+
+    sales = {r.order_id: r for r in REGISTRY["sale_with_items"].build(Shop()).collect()}
+    assert [sales[i].lista for i in (1, 2, 3, 4)] == ["|".join(map(str, range(1501))), "5|5", None, None]
+    assert (sales[2].itens, sales[2].centavos, sales[2].primeiro, sales[2].ultimo) == (2, 11, 5, 5)
+
+
 def test_unreadable_stock_is_rejected(spark):
     rows = [(1, "5"), (2, "abc"), (3, "-1"), (4, None)]
     got = silver.check_inventory(spark.createDataFrame(rows, "product_id int, quantity string")).collect()
