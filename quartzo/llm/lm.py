@@ -5,8 +5,8 @@ task; the first ``WORDS`` of them are the network's own. A document's tokens are
 state carried from window to window until its end; tokens that are not known there are joined to their counts, which are
 small, so no key is hot. A word outside the network's is told by the chance of its class and then by its share of the counts.
 
-The network learns from a fixed ``SHARE`` of the training documents, which grows with the corpus: trainers, each on its own
-documents, start from the same weights, and their results are averaged after each of ``ROUNDS`` rounds.
+The network learns from all training documents, each in one of ``ROUNDS`` rounds: trainers, each on its own documents, start
+from the same weights, and their results are averaged after each round.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from quartzo.session import cut_lineage
 #: Words that every task knows at most, words of the network, parts of ranks to a doubling of counts.
 KNOWN, WORDS, RANKS = 131_072, 4_096, 16
 #: One training document in so many teaches the network; rounds; tokens for each trainer while they last.
-SHARE, ROUNDS, TAUGHT = 8, 2, 250_000
+SHARE, ROUNDS, TAUGHT = 1, 2, 250_000
 #: Tokens that a task counts before it passes them on; bytes of a text that are cut into tokens at once; weights in a row.
 COUNTED, PIECE, CHUNK = 400_000, 1 << 20, 4096
 END = b""
@@ -153,7 +153,7 @@ def _taught(docs: DataFrame, model: Model, by: Column, trainers: int) -> gru.Wei
 
 
 def fit(docs: DataFrame, by: Column, text: str = "text") -> Model:
-    """Counts of all of ``docs``, and a network taught by those of them that a hash of ``by`` draws."""
+    """Counts of all of ``docs``, and a network taught by all of them; a hash of ``by`` draws the round."""
     counted = cut_lineage(count_tokens(docs, text))
     rank = F.floor(F.log2("n") * RANKS)
     # one row for each rank: 16 to a doubling

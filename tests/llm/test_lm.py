@@ -124,6 +124,19 @@ def test_learning_helps_unseen_texts(spark, monkeypatch):
     assert after[0] > after[1] * 0.95 and after[0] > plain[0] * 0.95
 
 
+def test_every_document_teaches_once(spark, monkeypatch):
+    taught = []
+
+    def round_of(docs, model, by, trainers):
+        taught.extend(r.text for r in docs.select("text").collect())
+        return model.weights
+
+    monkeypatch.setattr(lm, "_taught", round_of)
+    df = spark.createDataFrame([(i, f"word w{i}") for i in range(200)] + [(None, "none"), (7, "word w7")], "id long, text string")
+    lm.fit(df, F.col("id"))
+    assert sorted(taught) == sorted([f"word w{i}" for i in range(200)] + ["none", "word w7"])
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "id long, text string")
     out = sorted(lm.score(df, lm.fit(df.limit(0), F.col("id"))).drop("text").collect())
