@@ -126,8 +126,9 @@ def _taught(docs: DataFrame, model: Model, by: Column, trainers: int) -> gru.Wei
     shapes = {n: v.shape for n, v in start.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _lookup(known, words)
-        texts = (np.concatenate([ids for _, ids, _ in look(t)]) for b in batches for t in _texts(b, "text"))
+        own = {t: i for i, t in enumerate(known)}
+        ids = lambda tokens: np.fromiter(map(own.get, tokens, repeat(words)), np.int32, len(tokens))
+        texts = (np.concatenate([ids(tokens) for tokens in _ended(t)]) for b in batches for t in _texts(b, "text"))
         learned, seen = gru.fit(start, c, texts)
         if seen:
             flat = np.concatenate([learned[n].ravel() for n in shapes])

@@ -143,3 +143,17 @@ def test_nothing_to_learn_from(spark):
     assert [(r.id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in out] == [(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)]
     assert all(r.score == pytest.approx(0) for r in out)
     assert lm.score(df.limit(0), lm.fit(df, F.col("id"))).count() == 0
+
+
+def test_weights_settle_in_few_lanes_before_many(monkeypatch):
+    """Wide windows only once the first tokens have set the weights; every token is in one stretch, few texts are taught as before."""
+    monkeypatch.setattr(gru, "FIT_LANES", 2)
+    monkeypatch.setattr(gru, "FIT_STEPS", 64)
+    monkeypatch.setattr(gru, "SETTLED", 300)
+    monkeypatch.setattr(gru, "WIDE_LANES", 8)
+    texts = [np.arange(n, dtype=np.int32) for n in (5, 700, 1, 90, 1500, 40)]
+    lanes, parts = zip(*gru._stretches(texts))
+    assert lanes == (2, 2, 2, 8, 8, 8) and all(len(ids) >= k * 64 for k, (ids, _) in zip(lanes[:-1], parts))
+    assert np.array_equal(np.concatenate([ids for ids, _ in parts]), np.concatenate(texts))
+    begins = np.concatenate([fresh for _, fresh in parts])
+    assert np.flatnonzero(begins).tolist() == [0, 5, 705, 706, 796, 2296]
