@@ -12,14 +12,13 @@ from the same weights, and their results are averaged after each round.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
@@ -32,8 +31,8 @@ from quartzo.session import cut_lineage
 KNOWN, WORDS, RANKS = 131_072, 4_096, 16
 #: One training document in so many teaches the network; rounds; tokens for each trainer while they last.
 SHARE, ROUNDS, TAUGHT = 1, 2, 250_000
-#: Tokens that a task counts before it passes them on; bytes of a text that are cut into tokens at once; weights in a row.
-COUNTED, PIECE, CHUNK = 400_000, 1 << 20, 4096
+#: Tokens that a task counts before it passes them on; bytes of texts that are cut into tokens at once; weights in a row.
+COUNTED, PIECE, CHUNK = 2_000_000, 1 << 22, 4096
 END = b""
 
 
@@ -67,47 +66,53 @@ def pieces(text: bytes | None) -> Iterator[list[bytes]]:
         at = end
 
 
-def _texts(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
-    return batch.column(name).cast(pa.large_binary()).to_pylist()
+def _tokens(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Tokens of all texts in their order, each text's end (empty) after its last, and their rows; a bounded number of bytes at a time."""
+    texts = batch.column(name).cast(pa.large_string()).fill_null("")
+    size, at = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64), 0
+    before = np.append(0, np.cumsum(size))
+    while at < len(texts):
+        if size[at] > PIECE:
+            for tokens in _ended(texts[at].as_buffer().to_pybytes()):
+                yield np.full(len(tokens), at), pa.array(tokens, pa.large_binary())
+            at += 1
+            continue
+        end = int(np.searchsorted(before, before[at] + PIECE, side="right")) - 1
+        part = pc.ascii_trim_whitespace(texts.slice(at, end - at))
+        # what stands behind the last blank is the end
+        cut = pc.if_else(pc.equal(pc.binary_length(part), 0), part, pc.binary_join_element_wise(part, pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(cut))
+        yield at + pc.list_parent_indices(lists).to_numpy(), lists.flatten().cast(pa.large_binary())
+        at = end
 
 
 def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
     """token (END is empty) and n, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, n = [], 0
 
         def shown() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
-            seen.clear()
-            return out
+            found = pc.value_counts(pa.concat_arrays(held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([found.field(0).cast(pa.binary()), found.field(1)], ["token", "n"])
 
         for batch in batches:
-            for t in _texts(batch, "text"):
-                seen[END] += 1
-                for tokens in pieces(t):
-                    seen.update(tokens)
-                    if len(seen) > COUNTED:
-                        yield shown()
-        if seen:
+            for _, tokens in _tokens(batch, "text"):
+                held.append(tokens)
+                n += len(tokens)
+                if n > COUNTED:
+                    yield shown()
+                    n = 0
+        if held:
             yield shown()
 
     found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "token binary, n long")
     return found.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _lookup(known: list[bytes], words: int) -> Callable[[bytes | None], Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]]:
-    """For a text, piece by piece: ranks of its tokens (unknown: -1), the network's ids, the unknown tokens. The end comes last."""
-    rank = {t: i for i, t in enumerate(known)}
-
-    def look(text: bytes | None) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
-        for tokens in _ended(text):
-            ranks = np.fromiter(map(rank.get, tokens, repeat(-1)), np.int32, len(tokens))
-            unknown = np.flatnonzero(ranks < 0).tolist()
-            # as an unsigned number an unknown token's -1 is beyond all ranks
-            yield ranks, np.minimum(ranks.view(np.uint32), words).astype(np.int32), [tokens[i] for i in unknown]
-
-    return look
+def _ranks(tokens: pa.Array, known: pa.Array, other: int) -> np.ndarray:
+    return pc.index_in(tokens, value_set=known).fill_null(other).to_numpy(zero_copy_only=False).astype(np.int32)
 
 
 def _ended(text: bytes | None) -> Iterator[list[bytes]]:
@@ -126,9 +131,21 @@ def _taught(docs: DataFrame, model: Model, by: Column, trainers: int) -> gru.Wei
     shapes = {n: v.shape for n, v in start.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = {t: i for i, t in enumerate(known)}
-        ids = lambda tokens: np.fromiter(map(own.get, tokens, repeat(words)), np.int32, len(tokens))
-        texts = (np.concatenate([ids(tokens) for tokens in _ended(t)]) for b in batches for t in _texts(b, "text"))
+        own = pa.array(known, pa.large_binary())
+
+        def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+            parts, row = [], 0
+            for rows, tokens in _tokens(batch, "text"):
+                cuts = np.flatnonzero(np.diff(rows)) + 1
+                for part, of in zip(np.split(_ranks(tokens, own, words), cuts), rows[np.append(0, cuts)]):
+                    if of != row:
+                        yield np.concatenate(parts)
+                        parts, row = [], of
+                    parts.append(part)
+            if parts:
+                yield np.concatenate(parts)
+
+        texts = (t for b in batches for t in ids(b))
         learned, seen = gru.fit(start, c, texts)
         if seen:
             flat = np.concatenate([learned[n].ravel() for n in shapes])
@@ -197,30 +214,33 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     kinds += [("rest", ArrayType(BinaryType())), ("times", ArrayType(LongType()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, scorer = _lookup(known, words), gru.Scorer(weights, c)
+        sure, scorer = pa.array(known, pa.large_binary()), gru.Scorer(weights, c)
         for batch in batches:
-            rows, ids, tokens, times, offsets = [], [], [], [], [0]
-            for t in _texts(batch, told):
-                n = sure = outside = 0
-                sure_log = outside_log = 0.0
-                parts, rest = [], Counter()
-                for ranks, own, unknown in look(t):
-                    far = ranks[own == words]  # those without a rank have a log of zero
-                    n, sure, outside = n + len(ranks), sure + len(ranks) - len(unknown), outside + len(far)
-                    sure_log, outside_log = sure_log + float(logs[ranks].sum()), outside_log + float(logs[far].sum())
-                    parts.append(own)
-                    rest.update(unknown)
-                ids.append(np.concatenate(parts))
-                rows.append((n, sure, outside, sure_log, outside_log))
-                tokens += rest
-                times += rest.values()
-                offsets.append(len(tokens))
-            columns = list(zip(*rows)) or [()] * 5
-            own = [pa.array(x, pa.int64() if i < 3 else pa.float64()) for i, x in enumerate(columns)] + [pa.array(scorer(ids) / math.log(10), pa.float64())]
-            at = pa.array(offsets, pa.int32())
-            own += [pa.ListArray.from_arrays(at, pa.array(tokens, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int64()))]
+            if not batch.num_rows:
+                continue
+            many, ids, unknown, rest = batch.num_rows, [], [], []
+            n, n_sure, n_far, sure_log, far_log = np.zeros((5, many))
+            for rows, tokens in _tokens(batch, told):
+                ranks = _ranks(tokens, sure, len(known))
+                far, lost, of = ranks >= words, ranks == len(known), logs[ranks]  # those without a rank have a log of zero
+                n += np.bincount(rows, minlength=many)
+                n_sure += np.bincount(rows[~lost], minlength=many)
+                n_far += np.bincount(rows[far], minlength=many)
+                sure_log += np.bincount(rows, of, many)
+                far_log += np.bincount(rows[far], of[far], many)
+                ids.append(np.minimum(ranks, words))
+                unknown.append(rows[lost])
+                rest.append(tokens.filter(pa.array(lost)))
+            net = scorer(np.split(np.concatenate(ids), np.cumsum(n[:-1]).astype(np.int64))) / math.log(10)
+            # a row's unknown tokens, each with the times it is there
+            rest = pa.concat_arrays(rest).dictionary_encode()
+            kinds_of = max(1, len(rest.dictionary))
+            pairs, times = np.unique(np.concatenate(unknown) * kinds_of + rest.indices.to_numpy(), return_counts=True)
+            at = pa.array(np.searchsorted(pairs, np.arange(many + 1) * kinds_of), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, rest.dictionary.take(pa.array(pairs % kinds_of)).cast(pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int64()))]
+            own = [pa.array(x.astype(np.int64)) for x in (n, n_sure, n_far)] + [pa.array(x, pa.float64()) for x in (sure_log, far_log, net)]
             names = [rid, given]
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), *own], names=[*names, *(k for k, _ in kinds)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), *own, *lists], names=[*names, *(k for k, _ in kinds)])
 
     rows = docs.select(F.monotonically_increasing_id().alias(rid), F.struct(*(F.col(f"`{x}`") for x in kept)).alias(given), F.col(f"`{text}`").cast("string").alias(told))
     schema = StructType([*(f for f in rows.schema.fields if f.name != told), *(StructField(n, k) for n, k in kinds)])

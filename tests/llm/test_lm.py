@@ -157,3 +157,16 @@ def test_weights_settle_in_few_lanes_before_many(monkeypatch):
     assert np.array_equal(np.concatenate([ids for ids, _ in parts]), np.concatenate(texts))
     begins = np.concatenate([fresh for _, fresh in parts])
     assert np.flatnonzero(begins).tolist() == [0, 5, 705, 706, 796, 2296]
+
+
+def test_tokens_of_many_texts_at_once(monkeypatch):
+    """A batch is cut by Arrow within a bound of bytes; a text beyond it goes by itself, piece by piece."""
+    monkeypatch.setattr(lm, "PIECE", 40)
+    texts = ["A b\x0bC", None, "", " \t\r\n", " É x\x1cy  Z ", "one two " * 30, "end", "\x0cq"]
+    batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(texts, lm.pa.string())], ["text"])
+    got = [[] for _ in texts]
+    for rows, found in lm._tokens(batch, "text"):
+        assert sum(map(len, found.to_pylist())) <= 50
+        for i, t in zip(rows, found.to_pylist(), strict=True):
+            got[i].append(t.decode())
+    assert got == [tokens(t) for t in texts]
