@@ -303,6 +303,37 @@ def test_a_batch_goes_through_its_state_once(spark, tmp_path):
     assert {r.customer_id for r in got.filter("event_id % 2 = 1").collect()} == {2**60 + 1}
 
 
+def test_copies_are_counted_without_python(spark, tmp_path, rows):
+    """Three batches and a restart: Spark's own aggregation counts an event's copies, and only repeated events leave it."""
+    schema = "event_id bigint, session_id string, customer_id bigint, product_id bigint, order_id bigint, event_type string, event_at string, device string, source string"
+    batches = [[*range(20), None, 7, 7, *[8] * 300], [7, 7, 8, None, None, 30, 31, 31], [31, 8, 30, 99, None, *range(5)]]
+    nobody = spark.createDataFrame([], "customer_id bigint, product_id bigint")
+
+    landing, out, check = (str(tmp_path / x) for x in ("landing", "out", "check"))
+    operators = set()
+    for k, ids in enumerate(batches):
+        lines = [(i, "s", None, None, None, "view", f"2024-01-0{k + 1} 10:00:00", "app", "web") for i in ids]
+        spark.createDataFrame(lines, schema).coalesce(1).write.json(f"{landing}/events/{k}")
+        if k:  # the first start finds two files, each a batch of its own
+            stream = jobs.landing_stream(spark, f"{landing}/events", schema, files_per_batch=1)
+            done = jobs.quality_split(stream, nobody.select("customer_id"), nobody.select("product_id"), landing, out, check, RUN)
+            operators |= {b["stateOperators"][0]["operatorName"] for b in done if b["numInputRows"]}
+    assert operators == {"stateStoreSave"}
+    so_far = rows(spark.read.parquet(f"{out}/counted").filter("_earlier is not null").select("_batch", "event_id", "_earlier"))
+    got = rows(spark.read.parquet(f"{out}/checked").select("_batch", "event_id", "ocorrencia"))
+    order = lambda t: tuple((x is not None, str(x)) for x in t)
+    assert so_far == sorted(
+        [(0, 7, 3), (0, 8, 301), (1, None, 3), (1, 7, 5), (1, 8, 302), (1, 31, 2), (2, None, 4), (2, 8, 303), (2, 30, 2), (2, 31, 3), *((2, i, 2) for i in range(5))],
+        key=order,
+    )
+    want, seen = [], {}
+    for k, ids in enumerate(batches):
+        for i in ids:
+            seen[i] = seen.get(i, 0) + 1
+            want.append((k, i, seen[i]))
+    assert got == sorted(want, key=order)
+
+
 def test_settled_amounts_are_exact(spark, tmp_path):
     """A missing amount in a book's batch makes no decimal of the others; books that have no stock and no key are refused."""
     source, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
