@@ -215,6 +215,35 @@ def test_a_sale_lists_its_items(spark, monkeypatch):
     assert (sales[2].itens, sales[2].centavos, sales[2].primeiro, sales[2].ultimo) == (2, 11, 5, 5)
 
 
+def test_a_sale_holds_its_items_whole(spark, monkeypatch):
+    """Number, quantity and value of every item, in order, also without a number; items without an order are nobody's."""
+    from quartzo.catalog.base import REGISTRY
+
+    monkeypatch.setattr(silver, "stg_orders", lambda orders: orders)
+
+    class Shop:
+        def orders(self):
+            return spark.createDataFrame([(1, 7), (2, 8), (3, 9), (4, 9), (None, 9)], "order_id long, customer_id long")
+
+        def order_items(self):
+            lines = [(1, i, i % 50, 2 * i) for i in range(1500, -1, -1)] + [(2, 5, 3, 40), (2, 5, 2, 40), (2, 5, 9, 4), (2, None, 1, 3)]
+            lines += [(4, 6, None, None), (None, 1, 1, 1), (None, 2, 2, 2), (9, 1, 1, 1)]
+            return spark.createDataFrame(lines, "order_id long, item_id long, quantity int, line_cents long")
+
+    sales = {r.order_id: r for r in REGISTRY["sale_with_items"].build(Shop()).collect()}
+    assert len(sales) == 5 and sales[1].detalhe == "|".join(f"{i}:{i % 50}:{2 * i}" for i in range(1501))
+    assert [sales[i].detalhe for i in (2, 3, 4, None)] == [":1:3|5:9:4|5:2:40|5:3:40", None, "6::", None]
+    assert [sales[i].lista for i in (2, 3, 4, None)] == ["5|5|5", None, "6", None]
+    assert [(sales[i].itens, sales[i].centavos, sales[i].primeiro, sales[i].ultimo) for i in (2, 3, 4)] == [(3, 87, 5, 5), (0, 0, None, None), (1, 0, 6, 6)]
+
+
+def test_nested_without_a_bound(spark):
+    parent = spark.createDataFrame([(1,), (2,), (None,)], "id int")
+    child = spark.createDataFrame([(1, 1499 - i, str(i)) for i in range(1500)] + [(None, 5, "x")], "id int, n int, s string")
+    got = {r.id: r.filhos for r in joins.nested(parent, child, ["id"], ["n"], ["s", "n"], "filhos", most=None).collect()}
+    assert [(x.s, x.n) for x in got[1]] == [(str(1499 - i), i) for i in range(1500)] and got[2] is None and got[None] is None
+
+
 def test_unreadable_stock_is_rejected(spark):
     rows = [(1, "5"), (2, "abc"), (3, "-1"), (4, None)]
     got = silver.check_inventory(spark.createDataFrame(rows, "product_id int, quantity string")).collect()
